@@ -26,10 +26,13 @@ def windowed_agg(
     aggs: Sequence[Column],
     keys: Sequence[str] = (),
     watermark: str | None = "1 second",
+    flatten: bool = True,
 ) -> DataFrame:
     """``groupBy(window(ts, size, slide), *keys).agg(*aggs)``, flattened.
 
-    Output: ``start, end, *keys, *aggs``.  Each row lands in
+    Output: ``start, end, *keys, *aggs`` (``window, *keys, *aggs`` with
+    ``flatten=False``: the struct keeps its event-time role, so a stream can
+    aggregate it again).  Each row lands in
     ``ceil(size / slide)`` candidate windows; Spark expands and filters them
     inside the scan stage and aggregates partially before the shuffle, so a
     hot key costs one buffer per task and window.
@@ -43,11 +46,16 @@ def windowed_agg(
         was_ntz = False  # batch windows work on NTZ directly
     window = F.window(F.col(ts), size, slide) if slide else F.window(F.col(ts), size)
     res = df.groupBy(window.alias("window"), *keys).agg(*aggs)
+    return flatten_window(res, was_ntz) if flatten else res
+
+
+def flatten_window(res: DataFrame, to_ntz: bool = False) -> DataFrame:
+    """Replace the ``window`` struct by ``start`` and ``end`` columns."""
     start, end = F.col("window.start"), F.col("window.end")
-    if was_ntz:
+    if to_ntz:
         start, end = instant_to_ntz(start), instant_to_ntz(end)
-    return res.select(start.alias("start"), end.alias("end"), *keys,
-                      *[c for c in res.columns if c not in ("window", *keys)])
+    return res.select(start.alias("start"), end.alias("end"),
+                      *[c for c in res.columns if c != "window"])
 
 
 def _window_order(ordered: bool) -> list[Column]:
@@ -92,15 +100,21 @@ def top_type(
     earlier window, then the smaller type.  ``per_window=True`` gives one row
     per window instead: its most frequent type, ties to the smaller type.
     """
-    counts = windowed_agg(df, ts, size, slide, [F.count(F.lit(1)).alias(out)], [type_col], watermark)
     if not per_window:
+        counts = windowed_agg(df, ts, size, slide, [F.count(F.lit(1)).alias(out)], [type_col],
+                              watermark)
         return counts.orderBy(F.col(out).desc(), "start", "end",
                               F.col(type_col).asc_nulls_first()).limit(1)
-    # min over (-count, type) = highest count, then smallest type; one
-    # aggregation over the (window, type) counts.
+    to_ntz = df.isStreaming and isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+    counts = windowed_agg(df, ts, size, slide, [F.count(F.lit(1)).alias(out)], [type_col],
+                          watermark, flatten=False)
+    # min over (-count, type) = highest count, then smallest type.  Grouping
+    # by the window struct keeps event time, so a stream can chain this
+    # second aggregation (append mode).
     best = F.min(F.struct((-F.col(out)).alias("neg"), F.col(type_col).alias("t")))
-    return counts.groupBy("start", "end").agg(best.alias("_b")).select(
-        "start", "end", F.col("_b.t").alias(type_col), (-F.col("_b.neg")).alias(out))
+    per = counts.groupBy("window").agg(best.alias("_b"))
+    per = per.select("window", F.col("_b.t").alias(type_col), (-F.col("_b.neg")).alias(out))
+    return flatten_window(per, to_ntz)
 
 
 def distinct_types(

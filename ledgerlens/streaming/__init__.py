@@ -1,0 +1,23 @@
+from ledgerlens.streaming.jobs import (
+    await_any,
+    checkpoint_path,
+    epoch_files,
+    materialize,
+    start_alarm,
+    start_console,
+    start_fan_out,
+    start_files,
+    start_memory,
+)
+
+__all__ = [
+    "await_any",
+    "checkpoint_path",
+    "epoch_files",
+    "materialize",
+    "start_alarm",
+    "start_console",
+    "start_fan_out",
+    "start_files",
+    "start_memory",
+]
