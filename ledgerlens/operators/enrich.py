@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 from ledgerlens.operators.windows import windowed_agg
 
 
@@ -36,17 +37,23 @@ def enriched_counts(
     watermark: str | None = "1 second",
     out: str = "crime_count",
     ordered: bool = False,
+    broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """``start, end, postcode, average_price, crime_count`` per (window, postcode).
 
     ``prices`` is the output of :func:`postcode_prices` (one row per key).
     Incidents without a postcode, or whose postcode has no sales, drop out
-    (inner join).  The join runs on aggregated incidents; on batch input AQE
-    picks a broadcast when the price side is small at run time and a
-    skew-split sort-merge join otherwise.  For a stream, materialise
-    ``prices`` once (see ``streaming.jobs.materialize``) so a micro-batch
-    does not recompute it.
+    (inner join).  The join runs on aggregated incidents, so a postcode
+    holding a third of all incidents is one row per window.
+
+    Batch input: AQE picks a broadcast when the price side turns out small
+    at run time and a skew-split sort-merge join otherwise.  Stream input
+    (no AQE per micro-batch): materialise ``prices`` once (see
+    ``streaming.jobs.materialize``); it is then broadcast when it has at
+    most ``broadcast_rows`` rows and shuffle-joined otherwise.
     """
+    if events.isStreaming and not prices.isStreaming:
+        prices = bounded_broadcast(prices, broadcast_rows)
     counts = windowed_agg(
         events.filter(F.col(key).isNotNull()), ts, size, slide,
         [F.count(F.lit(1)).alias(out)], [key], watermark,

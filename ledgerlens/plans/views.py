@@ -24,11 +24,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.joins import bounded_broadcast
-
-# A nation table beyond this many rows is joined by shuffle instead.
-NATION_BROADCAST_ROWS = 100_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -42,8 +37,11 @@ def house_view(spark: SparkSession, sf_dir: str, with_place: bool = True) -> Dat
     ``n_nationkey`` are keys, so the joins never add rows; queries that need
     no place columns pass ``with_place=False`` and skip both joins.
 
-    The customer join is a shuffle join at scale (AQE splits a skewed
-    customer partition); nation is broadcast behind a row-count check.
+    No join hint: the planner broadcasts a side whose file-size estimate is
+    under ``spark.sql.autoBroadcastJoinThreshold`` (nation always; customer
+    at small scale) and otherwise plans a sort-merge join, whose skewed
+    partitions AQE splits at run time.  A row-count check here would cost a
+    Spark job per query for a size the file scan already knows.
     """
     orders = table(spark, sf_dir, "orders")
     status = F.col("o_orderstatus")
@@ -59,8 +57,7 @@ def house_view(spark: SparkSession, sf_dir: str, with_place: bool = True) -> Dat
     if not with_place:
         return orders.select(*cols)
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nation = bounded_broadcast(
-        table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), NATION_BROADCAST_ROWS)
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     sales = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
