@@ -49,10 +49,13 @@ def month_name(month: Column) -> Column:
 def ntz_to_instant(ts: Column) -> Column:
     """TIMESTAMP_NTZ -> TIMESTAMP with the same epoch microseconds.
 
-    A plain cast reads the wall clock in the session time zone, which would
-    shift window alignment with the zone; this does not.
+    A plain cast (or ``timestampdiff``, which casts) reads the wall clock in
+    the session time zone, shifting window alignment with the zone and by an
+    hour across daylight-saving changes; reading the fields as UTC does not.
     """
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), ts))
+    seconds = F.date_part(F.lit("SECOND"), ts)  # with the microsecond fraction
+    return F.make_timestamp(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                            F.minute(ts), seconds, F.lit("UTC"))
 
 
 def instant_to_ntz(ts: Column) -> Column:

@@ -39,8 +39,10 @@ def publish_csv(
     no longer shifts the columns.  ``fmt="text"`` with a ``path`` option
     writes the same lines to files.
     """
+    from ledgerlens.sources.topic import EXACT_TIME_FORMATS
+
     cols = list(columns or df.columns)
-    out = [F.to_csv(F.struct(*cols)).alias("value")]
+    out = [F.to_csv(F.struct(*cols), EXACT_TIME_FORMATS).alias("value")]
     if key:
         out.insert(0, F.col(key).cast("string").alias("key"))
     df.select(*out).write.format(fmt).options(**options).mode(

@@ -11,6 +11,13 @@ from pyspark.sql import types as T
 from ledgerlens.schemas import INCIDENT, INCIDENT_DROPPED, ddl
 
 
+# Lossless text forms of the two timestamp types.
+EXACT_TIME_FORMATS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def read_topic(spark: SparkSession, options: dict[str, str], fmt: str = "kafka") -> DataFrame:
     """Streaming read of a topic, e.g. ``{"kafka.bootstrap.servers": ...,
     "subscribe": ...}``.  The Kafka source needs its connector jar on the
@@ -62,5 +69,10 @@ def encode_csv(
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """The inverse of :func:`decode_csv`: ``columns`` as one CSV text column
-    ``value`` (quoted and escaped, so commas inside fields survive)."""
-    return df.select(*keep, F.to_csv(F.struct(*columns), options or {}).alias(value))
+    ``value`` (quoted and escaped, so commas inside fields survive).
+
+    Timestamps are written with all six fraction digits (Spark's default
+    keeps three), so decoding gives back the same instant.
+    """
+    opts = {**EXACT_TIME_FORMATS, **(options or {})}
+    return df.select(*keep, F.to_csv(F.struct(*columns), opts).alias(value))

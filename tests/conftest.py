@@ -7,6 +7,9 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+# Python workers (UDF-free here, but foreach callbacks) import from both.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [ROOT, os.path.dirname(os.path.abspath(__file__)), os.environ.get("PYTHONPATH", "")])
 
 SF001 = "/root/testdata/sf0.01"
 SF0001 = "/root/testdata/sf0.001"

@@ -39,6 +39,11 @@ def split_events(spark, scratch):
     path = os.path.join(scratch, "events_split")
     events = spark.read.parquet(f"{SF001}/events.parquet")
     events.repartitionByRange(4, "ts").write.parquet(path)
+    # A file source reads files in modification-time order; make that the
+    # time-range order (part-00000 holds the earliest range).
+    parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    for i, name in enumerate(parts):
+        os.utime(os.path.join(path, name), (1_000_000 + 10 * i, 1_000_000 + 10 * i))
     return path, events.schema
 
 
