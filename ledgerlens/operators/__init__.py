@@ -9,6 +9,7 @@ from ledgerlens.operators.joins import bounded_broadcast, row_count_at_most
 from ledgerlens.operators.mix import category_mix
 from ledgerlens.operators.periods import busiest_month, monthly_counts, yoy_change
 from ledgerlens.operators.shuffle import random_order
+from ledgerlens.operators.summarize import Lookup, summarize
 from ledgerlens.operators.windows import (
     distinct_types,
     threshold_alarm,
@@ -19,6 +20,8 @@ from ledgerlens.operators.windows import (
 )
 
 __all__ = [
+    "Lookup",
+    "summarize",
     "bottom_groups_by_median",
     "bounded_broadcast",
     "busiest_month",

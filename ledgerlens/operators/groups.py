@@ -3,6 +3,8 @@
 Every aggregate here is mergeable (avg, min, max, counts, the quantile
 sketch), so Spark aggregates partially before the shuffle: a group holding a
 third of all rows still sends one small buffer per map task, never its rows.
+Each takes a DataFrame or a ``Lookup`` (group columns reached through a key,
+aggregated before the join; see ``summarize``).
 """
 
 from __future__ import annotations
@@ -13,6 +15,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.numeric import percent
+from ledgerlens.operators.summarize import (
+    Source,
+    count_nonnull,
+    count_true,
+    maximum,
+    mean,
+    minimum,
+    rows_of,
+    summarize,
+)
 
 
 def _keys(group: str | Sequence[str]) -> list[str]:
@@ -24,7 +36,7 @@ def _key_order(keys: Sequence[str]) -> list[Column]:
 
 
 def top_groups_by_avg(
-    df: DataFrame,
+    df: Source,
     group: str = "town",
     value: str = "price",
     k: int = 10,
@@ -38,13 +50,13 @@ def top_groups_by_avg(
     ``tie_break`` orders equal averages by key so the cut is deterministic.
     """
     keys = _keys(group)
-    agg = df.groupBy(*keys).agg(F.avg(value).alias(out))
+    agg = summarize(df, keys, {out: mean(value)})
     order = [F.col(out).desc_nulls_last()] + (_key_order(keys) if tie_break else [])
     return agg.orderBy(*order).limit(k)
 
 
 def value_spread(
-    df: DataFrame,
+    df: Source,
     groups: Sequence[str] = ("county", "property_type"),
     value: str = "price",
     out: str = "price_difference",
@@ -52,7 +64,8 @@ def value_spread(
 ) -> DataFrame:
     """``max(value) - min(value)`` per group (B3); null when all values are null."""
     keys = _keys(groups)
-    res = df.groupBy(*keys).agg((F.max(value) - F.min(value)).alias(out))
+    res = summarize(df, keys, {"_hi": maximum(value), "_lo": minimum(value)})
+    res = res.select(*keys, (F.col("_hi") - F.col("_lo")).alias(out))
     if ordered:
         res = res.orderBy(F.col(keys[0]).asc_nulls_first(), F.col(out).asc_nulls_first(),
                           *_key_order(keys[1:]))
@@ -60,7 +73,7 @@ def value_spread(
 
 
 def flag_share(
-    df: DataFrame,
+    df: Source,
     group: str = "county",
     predicate: Column | None = None,
     total_out: str = "total_count",
@@ -75,18 +88,16 @@ def flag_share(
     """
     if predicate is None:
         predicate = F.col("new_property") == F.lit("Y")
-    total = F.count(F.col(group))
-    res = df.groupBy(group).agg(
-        total.alias(total_out),
-        percent(F.count_if(predicate), total).alias(share_out),
-    )
+    res = summarize(df, [group], {total_out: count_nonnull(group), "_flagged": count_true(predicate)})
+    res = res.select(group, total_out,
+                     percent(F.col("_flagged"), F.col(total_out)).alias(share_out))
     if ordered:
         res = res.orderBy(F.col(share_out).asc_nulls_first(), F.col(group).asc_nulls_first())
     return res
 
 
 def bottom_groups_by_median(
-    df: DataFrame,
+    df: Source,
     group: str = "county",
     value: str = "price",
     k: int = 20,
@@ -99,9 +110,11 @@ def bottom_groups_by_median(
     ``percentile_approx`` returns an element of the group (the lower middle
     one for an even count) with rank error at most ``1/accuracy`` of the
     group size; its sketch is merged across tasks, so memory per group is
-    bounded by ``accuracy``, not by the group size.
+    bounded by ``accuracy``, not by the group size.  The sketch cannot be
+    built before a lookup join, so a ``Lookup`` is joined row by row here
+    (AQE splits a skewed join partition).
     """
     keys = _keys(group)
-    agg = df.groupBy(*keys).agg(F.percentile_approx(value, 0.5, accuracy).alias(out))
+    agg = rows_of(df).groupBy(*keys).agg(F.percentile_approx(value, 0.5, accuracy).alias(out))
     order = [F.col(out).asc_nulls_last()] + (_key_order(keys) if tie_break else [])
     return agg.orderBy(*order).limit(k)

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.numeric import percent
+from ledgerlens.operators.summarize import Source, count_rows, summarize
 
 
 def category_mix(
-    df: DataFrame,
+    df: Source,
     group: str = "county",
     category: str = "property_type",
     digits: int = 2,
@@ -20,7 +21,7 @@ def category_mix(
     The group total is a window sum over the already-aggregated
     (group, category) rows, never over raw rows.
     """
-    counts = df.groupBy(group, category).agg(F.count(F.lit(1)).alias("num_of_type"))
+    counts = summarize(df, [group, category], {"num_of_type": count_rows()})
     total = F.sum("num_of_type").over(Window.partitionBy(group))
     return counts.select(
         F.col(group),

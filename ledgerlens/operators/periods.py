@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.time import in_years, month_name
+from ledgerlens.operators.summarize import Source, count_nonnull, mean, rows_of, summarize
 
 
 def monthly_counts(
-    df: DataFrame,
+    df: Source,
     date: str = "date",
     year: int = 2011,
     ordered: bool = False,
@@ -26,6 +27,7 @@ def monthly_counts(
     Months without rows are absent.
     """
     m = F.month(F.col(date))
+    df = rows_of(df, [date])
     res = (
         df.filter(in_years(df, date, year))
         .groupBy(m.alias("m"))
@@ -41,7 +43,7 @@ def monthly_counts(
 
 
 def yoy_change(
-    df: DataFrame,
+    df: Source,
     group: str = "county",
     date: str = "date",
     value: str = "price",
@@ -59,12 +61,8 @@ def yoy_change(
     ``percentage_change`` is rounded to 2 places and null when the previous
     average is 0.
     """
-    year = F.year(F.col(date)).alias("year")
-    yearly = (
-        df.filter(in_years(df, date, start, end))
-        .groupBy(F.col(group), year)
-        .agg(F.avg(value).alias("avg_price"))
-    )
+    dated = df.filter(in_years(df, date, start, end)).withColumn("year", F.year(F.col(date)))
+    yearly = summarize(dated, [group, "year"], {"avg_price": mean(value)})
     w = Window.partitionBy(group).orderBy("year")
     prev = F.lag("avg_price").over(w)
     if strict_gap:
@@ -88,7 +86,7 @@ def yoy_change(
 
 
 def busiest_month(
-    df: DataFrame,
+    df: Source,
     group: str = "county",
     date: str = "date",
     id_col: str = "transaction_id",
@@ -101,11 +99,9 @@ def busiest_month(
     One row per group is picked from the (group x 12) aggregate with a
     ranked window that Spark plans as a group limit.
     """
-    monthly = (
-        df.filter(in_years(df, date, year))
-        .groupBy(F.col(group), F.month(F.col(date)).alias("m"))
-        .agg(F.count(F.col(id_col)).alias("num_transactions"), F.avg(value).alias("avg_price"))
-    )
+    dated = df.filter(in_years(df, date, year)).withColumn("m", F.month(F.col(date)))
+    monthly = summarize(dated, [group, "m"],
+                        {"num_transactions": count_nonnull(id_col), "avg_price": mean(value)})
     w = Window.partitionBy(group).orderBy(F.col("num_transactions").desc(), F.col("m").asc())
     return (
         monthly.withColumn("_rank", F.row_number().over(w))

@@ -1,5 +1,5 @@
 from ledgerlens.plans.oracle import oracle_sql
 from ledgerlens.plans.queries import QUERIES
-from ledgerlens.plans.views import house_view, incident_view, table
+from ledgerlens.plans.views import house_lookup, house_view, incident_view, places, table
 
-__all__ = ["QUERIES", "house_view", "incident_view", "oracle_sql", "table"]
+__all__ = ["QUERIES", "house_lookup", "house_view", "places", "incident_view", "oracle_sql", "table"]

@@ -31,3 +31,25 @@ def read_schemas(plan: str) -> list[str]:
 
 def slow_operators(plan: str) -> list[str]:
     return [op for op in SLOW_OPERATORS if op in plan]
+
+
+def scan_ancestors(plan: str, table_file: str) -> list[str]:
+    """Operator names from the scan of ``table_file`` up to the root of a
+    ``formatted`` plan (nearest first)."""
+    tree, _, details = plan.partition("\n\n\n")
+    ids = re.findall(r"\((\d+)\) Scan \w+\s*\n(?:.*\n)*?Location: .*?" + re.escape(table_file),
+                     details)
+    lines = tree.splitlines()
+    for i, line in enumerate(lines):
+        m = re.search(r"Scan \w+\s*\((\d+)\)", line)
+        if not (m and m.group(1) in ids):
+            continue
+        depth = len(line) - len(line.lstrip(" :+-"))
+        chain = []
+        for above in reversed(lines[:i]):
+            d = len(above) - len(above.lstrip(" :+-"))
+            if d < depth:
+                chain.append(re.sub(r"\s*\(\d+\)$", "", above.strip(" :+-")))
+                depth = d
+        return chain
+    return []

@@ -37,7 +37,7 @@ from ledgerlens.operators import (
     value_spread,
     yoy_change,
 )
-from ledgerlens.plans.views import house_view, incident_view, table
+from ledgerlens.plans.views import house_lookup, house_view, incident_view, table
 from ledgerlens.sources.tables import combine_shuffle
 from ledgerlens.sources.topic import decode_csv, encode_csv
 
@@ -65,7 +65,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def q_top_groups_by_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = top_groups_by_avg(house_view(spark, sf_dir), "town", "price", k=10)
+    res = top_groups_by_avg(house_lookup(spark, sf_dir), "town", "price", k=10)
     return round_columns(res, DIGITS)
 
 
@@ -74,37 +74,37 @@ def q_monthly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_value_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = value_spread(house_view(spark, sf_dir), ("county", "property_type"), "price")
+    res = value_spread(house_lookup(spark, sf_dir), ("county", "property_type"), "price")
     return round_columns(res, DIGITS)
 
 
 def q_yoy_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = yoy_change(house_view(spark, sf_dir), "county", "date", "price", *YEAR_RANGE)
+    res = yoy_change(house_lookup(spark, sf_dir), "county", "date", "price", *YEAR_RANGE)
     return round_columns(res, DIGITS)
 
 
 def q_yoy_change_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = yoy_change(house_view(spark, sf_dir), "county", "date", "price", *YEAR_RANGE,
+    res = yoy_change(house_lookup(spark, sf_dir), "county", "date", "price", *YEAR_RANGE,
                      strict_gap=True)
     return round_columns(res, DIGITS)
 
 
 def q_busiest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = busiest_month(house_view(spark, sf_dir), "county", "date", "transaction_id", "price", YEAR)
+    res = busiest_month(house_lookup(spark, sf_dir), "county", "date", "transaction_id", "price", YEAR)
     return round_columns(res, DIGITS)
 
 
 def q_flag_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = flag_share(house_view(spark, sf_dir), "county", F.col("new_property") == F.lit("Y"))
+    res = flag_share(house_lookup(spark, sf_dir), "county", F.col("new_property") == F.lit("Y"))
     return round_columns(res, DIGITS)
 
 
 def q_category_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return category_mix(house_view(spark, sf_dir), "county", "property_type")
+    return category_mix(house_lookup(spark, sf_dir), "county", "property_type")
 
 
 def q_bottom_groups_by_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bottom_groups_by_median(house_view(spark, sf_dir), "county", "price", k=20)
+    return bottom_groups_by_median(house_lookup(spark, sf_dir), "county", "price", k=20)
 
 
 def q_csv_decode(spark: SparkSession, sf_dir: str) -> DataFrame:

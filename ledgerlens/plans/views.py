@@ -24,28 +24,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.summarize import Lookup
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def house_view(spark: SparkSession, sf_dir: str, with_place: bool = True) -> DataFrame:
-    """One row per order, in the house-sales column vocabulary.
-
-    Left joins keep every order (an order with an unknown customer or nation
-    is a sale with a null county, its own group).  ``c_custkey`` and
-    ``n_nationkey`` are keys, so the joins never add rows; queries that need
-    no place columns pass ``with_place=False`` and skip both joins.
-
-    No join hint: the planner broadcasts a side whose file-size estimate is
-    under ``spark.sql.autoBroadcastJoinThreshold`` (nation always; customer
-    at small scale) and otherwise plans a sort-merge join, whose skewed
-    partitions AQE splits at run time.  A row-count check here would cost a
-    Spark job per query for a size the file scan already knows.
-    """
-    orders = table(spark, sf_dir, "orders")
+def _sales(orders: DataFrame) -> DataFrame:
     status = F.col("o_orderstatus")
-    cols = [
+    return orders.select(
         F.col("o_orderkey").alias("transaction_id"),
         F.col("o_totalprice").alias("price"),
         F.col("o_orderdate").alias("date"),
@@ -53,16 +41,44 @@ def house_view(spark: SparkSession, sf_dir: str, with_place: bool = True) -> Dat
         F.col("o_orderpriority").alias("property_type"),
         F.when(status == F.lit("F"), F.lit("Y"))
         .when(status.isNotNull(), F.lit("N")).alias("new_property"),
-    ]
-    if not with_place:
-        return orders.select(*cols)
+    )
+
+
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``c_custkey -> town, county``: one row per customer (its nation's name)."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    sales = (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    )
-    return sales.select(*cols, F.col("n_name").alias("town"), F.col("n_name").alias("county"))
+    return (customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .select("c_custkey", F.col("n_name").alias("town"), F.col("n_name").alias("county")))
+
+
+def house_lookup(spark: SparkSession, sf_dir: str) -> Lookup:
+    """Sales whose place columns come through the customer key.
+
+    Operators given this aggregate orders per (customer, fact-side group)
+    before joining the places, so the join meets one row per customer
+    instead of one per order and a customer holding a third of all orders
+    collapses before the shuffle.  ``c_custkey`` is a key, so the join
+    never multiplies rows; an order with an unknown customer gets null
+    places (its own group).
+    """
+    return Lookup(_sales(table(spark, sf_dir, "orders")), "postcode",
+                  places(spark, sf_dir), "c_custkey")
+
+
+def house_view(spark: SparkSession, sf_dir: str, with_place: bool = True) -> DataFrame:
+    """One row per order, in the house-sales column vocabulary (row level).
+
+    Left joins keep every order.  ``with_place=False`` skips the joins when
+    no place column is needed.  No join hint: the planner broadcasts a side
+    whose file-size estimate is under ``spark.sql.autoBroadcastJoinThreshold``
+    and otherwise plans a sort-merge join, whose skewed partitions AQE
+    splits at run time.
+    """
+    sales = _sales(table(spark, sf_dir, "orders"))
+    if not with_place:
+        return sales
+    return house_lookup(spark, sf_dir).rows()
 
 
 def incident_view(spark: SparkSession, sf_dir: str) -> DataFrame:

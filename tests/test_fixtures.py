@@ -157,3 +157,45 @@ def test_date_column_may_be_date_or_timestamp(spark):
     assert [tuple(r) for r in monthly_counts(df, "date", 2011).collect()] == [("3", 2, "March")]
     ts = spark.createDataFrame([(dt.datetime(2011, 3, 1),)], "date timestamp")
     assert [tuple(r) for r in monthly_counts(ts, "date", 2011).collect()] == [("3", 1, "March")]
+
+
+LOOKUP_FACT = [
+    # id, price, date, cust, type, flag
+    ("1", 10.0, d(2011, 1), 1, "D", "Y"),
+    ("2", 30.0, d(2011, 1), 1, "F", "N"),
+    ("3", None, d(2011, 2), 1, "D", "Y"),
+    ("4", 5.0, d(2011, 2), 2, "D", "N"),
+    ("5", 7.0, d(2012, 3), 2, "S", "Y"),
+    ("6", 9.0, d(2013, 3), 3, "S", None),   # customer 3 has a null county
+    ("7", 11.0, d(2011, 4), 4, "D", "Y"),   # customer 4 is not in the lookup
+    (None, 13.0, d(2011, 4), None, "F", "N"),  # null key
+    ("8", 0.0, d(2012, 5), 1, "D", "N"),
+]
+
+
+@pytest.fixture
+def lookup(spark):
+    from ledgerlens.operators import Lookup
+
+    fact = spark.createDataFrame(
+        LOOKUP_FACT, "transaction_id string, price double, date timestamp_ntz, "
+                     "cust long, property_type string, new_property string")
+    table = spark.createDataFrame([(1, "A"), (2, "B"), (3, None)], "c_custkey long, county string")
+    return Lookup(fact, "cust", table, "c_custkey")
+
+
+@pytest.mark.parametrize("op", [
+    lambda s: top_groups_by_avg(s, "county", "price", k=3),
+    lambda s: value_spread(s),
+    lambda s: yoy_change(s, start=2011, end=2013),
+    lambda s: yoy_change(s, start=2011, end=2013, strict_gap=True),
+    lambda s: busiest_month(s, year=2011),
+    lambda s: flag_share(s, "county", F.col("new_property") == "Y"),
+    lambda s: category_mix(s),
+    lambda s: bottom_groups_by_median(s),
+    lambda s: monthly_counts(s, "date", 2011),
+])
+def test_lookup_equals_joined_rows(lookup, op):
+    eager = sorted(repr(tuple(r)) for r in op(lookup).collect())
+    plain = sorted(repr(tuple(r)) for r in op(lookup.rows()).collect())
+    assert eager == plain and eager

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import SF0001, SF001
 from ledgerlens.plans import house_view
-from ledgerlens.plans.inspect import plan_text, pushed_filters, read_schemas, slow_operators
+from ledgerlens.plans.inspect import (
+    plan_text,
+    pushed_filters,
+    read_schemas,
+    scan_ancestors,
+    slow_operators,
+)
 from ledgerlens.sources import land_raw
 
 QUERIES = entry.queries()
@@ -69,3 +75,12 @@ def test_landed_year_is_pruned(spark, scratch):
     land_raw(house_view(spark, SF0001), out)
     plan = plan_text(spark.read.parquet(out).filter(F.col("year") == 1997))
     assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
+
+
+@pytest.mark.parametrize("name", ["top_groups_by_avg", "yoy_change", "busiest_month",
+                                  "flag_share", "category_mix", "value_spread"])
+def test_orders_aggregated_before_place_join(spark, name):
+    """Eager aggregation: above the orders scan an aggregate comes before any join."""
+    chain = scan_ancestors(plan_text(QUERIES[name](spark, SF001)), "orders.parquet")
+    firsts = [op for op in chain if "Aggregate" in op or "Join" in op]
+    assert firsts and "Aggregate" in firsts[0], chain
