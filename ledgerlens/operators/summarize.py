@@ -11,6 +11,17 @@ before it, and the join meets one row per key instead of one per fact row.
 
 ``summarize(src, keys, measures)`` takes either a DataFrame (one ordinary
 ``groupBy``) or a :class:`Lookup` (partial aggregate, join, merge).
+
+Eager aggregation pays when many fact rows share a (key, fact-side group).
+With group keys only from the lookup, every fact row of a key collapses
+(orders per customer); once fact-side keys (year, month, type) split the key
+further, few rows share a group and the extra aggregate costs more than it
+saves.  Measured on 7.5M orders / 750k customers (local[8]): by county only,
+eager 2.0 s vs 3.2 s row-level with a customer holding a third of the
+orders; by (county, type), eager 4.3 s vs 2.8 s without skew.  So by
+default (``eager=None``) a Lookup aggregates eagerly only when all group
+keys come from the lookup; otherwise it joins rows and Spark aggregates
+partially after the join (AQE splits a skewed join partition).
 """
 
 from __future__ import annotations
@@ -35,6 +46,7 @@ class Lookup:
     key: str
     table: DataFrame
     table_key: str
+    eager: bool | None = None  # None: eager only when all group keys are lookup columns
 
     @property
     def schema(self):
@@ -131,6 +143,9 @@ def summarize(src: Source, keys: Sequence[str], measures: dict[str, Measure]) ->
         return src.groupBy(*keys).agg(*[m.on_rows().alias(n) for n, m in measures.items()])
     fact = set(src.fact.columns)
     fact_keys = [k for k in keys if k in fact]
+    eager = src.eager if src.eager is not None else not fact_keys
+    if not eager:
+        return summarize(src.rows(), keys, measures)
     parts = [c for n, m in measures.items() for c in m.parts(f"_{n}", fact)]
     pre = src.fact.groupBy(F.col(src.key).alias("_lookup_key"), *fact_keys).agg(*parts)
     table = src.table.withColumnRenamed(src.table_key, "_lookup_key")
