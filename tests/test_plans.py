@@ -94,3 +94,20 @@ def test_orders_aggregated_before_place_join(spark, name):
 def test_fact_side_keys_join_rows_first(spark, name):
     """Grouped also by order columns: join rows, aggregate partially after."""
     assert "Join" in _first_above_orders(spark, name)
+
+
+def test_rank_one_pick_is_a_group_limit(spark):
+    assert "WindowGroupLimit" in plan_text(QUERIES["busiest_month"](spark, SF001))
+
+
+def test_ordered_presentations(spark):
+    from ledgerlens.operators import distinct_types, type_counts
+    from ledgerlens.plans import incident_view
+
+    inc = incident_view(spark, SF001)
+    rows = type_counts(inc, "timestamp", "crime_type", "12 hours", "4 hours", ordered=True).collect()
+    keys = [(r.start, r.crime_type) for r in rows]
+    assert keys == sorted(keys, key=lambda k: (-k[0].timestamp(), k[1]))
+    starts = [r.start for r in distinct_types(inc, "timestamp", "crime_type", "12 hours", "4 hours",
+                                              ordered=True).collect()]
+    assert starts == sorted(starts, reverse=True)
