@@ -1,6 +1,7 @@
 from ledgerlens.streaming.jobs import (
     await_any,
     checkpoint_path,
+    console_rows,
     epoch_files,
     materialize,
     start_alarm,
@@ -13,6 +14,7 @@ from ledgerlens.streaming.jobs import (
 __all__ = [
     "await_any",
     "checkpoint_path",
+    "console_rows",
     "epoch_files",
     "materialize",
     "start_alarm",

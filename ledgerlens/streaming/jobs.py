@@ -80,6 +80,16 @@ def epoch_files(
     return write
 
 
+def console_rows(rows: int = 20) -> BatchWriter:
+    """A batch writer printing up to ``rows`` rows of each micro-batch (only
+    those rows reach the driver)."""
+    def show(batch: DataFrame, epoch_id: int) -> None:
+        print(f"-- epoch {epoch_id}")
+        batch.show(rows, truncate=False)
+
+    return show
+
+
 def start_fan_out(
     df: DataFrame,
     writers: Sequence[BatchWriter],

@@ -1,0 +1,88 @@
+"""The command-line jobs on files Spark derives from the driver tables."""
+
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF0001
+from ledgerlens import cli
+from ledgerlens.plans import house_view
+from ledgerlens.schemas import HOUSE, INCIDENT
+from ledgerlens.sources import encode_csv, read_table
+
+
+@pytest.fixture(scope="module")
+def house_csv(spark, scratch):
+    """The sf0.001 sales as a headerless 16-column house CSV."""
+    out = os.path.join(scratch, "house_csv")
+    sales = house_view(spark, SF0001)
+    cols = [(F.col(f.name) if f.name in sales.columns else F.lit(None)).cast("string").alias(f.name)
+            for f in HOUSE.fields]
+    sales.select(*cols).write.option("header", "false").csv(out)
+    return out
+
+
+@pytest.fixture(scope="module")
+def incident_text(spark, scratch):
+    """The sf0.001 events as incident CSV lines (plus a header line)."""
+    out = os.path.join(scratch, "incident_text")
+    events = spark.read.parquet(f"{SF0001}/events.parquet")
+    rows = events.select(
+        F.col("event_id").cast("string").alias("key"), F.lit("2024-01").alias("month"),
+        F.lit("Force").alias("reported_by"), F.lit("Force").alias("falls_within"),
+        F.lit(None).cast("double").alias("longitude"), F.lit(None).cast("double").alias("latitude"),
+        F.lit("On or near").alias("location"),
+        F.col("user_id").cast("string").alias("lsoa_code"), F.lit("N").alias("lsoa_name"),
+        F.col("event_type").alias("crime_type"), F.lit("Done").alias("last_outcome_category"),
+        F.lit(None).cast("string").alias("context"))
+    encode_csv(rows, [f.name for f in INCIDENT.fields]).write.text(out)
+    with open(os.path.join(out, "header.txt"), "w") as f:
+        f.write("Crime ID,Month,Reported by,Falls within,Longitude,Latitude,Location,"
+                "LSOA code,LSOA name,Crime type,Last outcome category,Context\n")
+    return out, events.count()
+
+
+@pytest.mark.parametrize("job", sorted(cli.BATCH))
+def test_batch_job(spark, scratch, house_csv, job):
+    out = os.path.join(scratch, f"cli_{job}_{uuid.uuid4().hex[:6]}")
+    argv = ["batch", job, "--input", house_csv, "--output", out,
+            "--year", "1997", "--start", "1996", "--end", "2000"]
+    cli.main(argv, spark)
+    got = sorted(repr(tuple(r)) for r in spark.read.parquet(out).collect())
+    args = cli.parser().parse_args(argv)
+    want = cli.BATCH[job](read_table(spark, house_csv, HOUSE), args)
+    assert got == sorted(repr(tuple(r)) for r in want.collect()) and got
+
+
+def run_stream(spark, scratch, incident_text, job, *extra):
+    path, _ = incident_text
+    out = os.path.join(scratch, f"cli_{job}_{uuid.uuid4().hex[:6]}")
+    q = cli.main(["stream", job, "--format", "text", "--option", f"path={path}",
+                  "--header", "Crime ID,Month,Reported by,Falls within,Longitude,Latitude,"
+                  "Location,LSOA code,LSOA name,Crime type,Last outcome category,Context",
+                  "--output", out, "--checkpoint", out + "_ckpt", "--available-now", *extra], spark)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    last = max(os.listdir(out), key=lambda d: int(d.split("=")[1]))
+    return spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/{last}")
+
+
+def test_stream_passthrough(spark, scratch, incident_text):
+    df = run_stream(spark, scratch, incident_text, "passthrough")
+    assert df.count() == incident_text[1]
+    assert df.filter(F.col("crime_type") == "Crime type").count() == 0
+
+
+def test_stream_type_counts(spark, scratch, incident_text):
+    df = run_stream(spark, scratch, incident_text, "type_counts")
+    # every incident lies in exactly three 12 s / 4 s windows
+    assert df.agg(F.sum("crime_count")).first()[0] == 3 * incident_text[1]
+
+
+def test_stream_enriched(spark, scratch, incident_text, house_csv):
+    df = run_stream(spark, scratch, incident_text, "enriched", "--static", house_csv,
+                    "--postcode-from", "lsoa_code")
+    assert df.count() > 0
+    assert set(df.columns) == {"start", "end", "postcode", "average_price", "crime_count"}
