@@ -55,12 +55,12 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 def house_lookup(spark: SparkSession, sf_dir: str) -> Lookup:
     """Sales whose place columns come through the customer key.
 
-    Operators given this aggregate orders per (customer, fact-side group)
-    before joining the places, so the join meets one row per customer
-    instead of one per order and a customer holding a third of all orders
-    collapses before the shuffle.  ``c_custkey`` is a key, so the join
-    never multiplies rows; an order with an unknown customer gets null
-    places (its own group).
+    Operators that group by place columns only aggregate orders per
+    customer before joining the places (see ``operators.summarize``): the
+    join meets one row per customer instead of one per order, and a
+    customer holding a third of all orders collapses before the shuffle.
+    ``c_custkey`` is a key, so the join never multiplies rows; an order
+    with an unknown customer gets null places (its own group).
     """
     return Lookup(_sales(table(spark, sf_dir, "orders")), "postcode",
                   places(spark, sf_dir), "c_custkey")
