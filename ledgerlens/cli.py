@@ -32,6 +32,7 @@ from ledgerlens.operators import (
     enriched_counts,
     flag_share,
     monthly_counts,
+    nearest_point,
     postcode_prices,
     top_groups_by_avg,
     top_type,
@@ -40,7 +41,7 @@ from ledgerlens.operators import (
     value_spread,
     yoy_change,
 )
-from ledgerlens.schemas import HOUSE, INCIDENT
+from ledgerlens.schemas import HOUSE, INCIDENT, POSTCODE_POINTS
 from ledgerlens.session import build_session
 from ledgerlens.sinks import save_table
 from ledgerlens.sources import decode_csv, read_table, read_topic
@@ -98,12 +99,19 @@ def _stream_job(name: str, incidents: DataFrame, a: argparse.Namespace,
     if name == "enriched":
         if not a.static:
             raise SystemExit("enriched needs --static <house sales file>")
-        if not a.postcode_from:
-            raise SystemExit("enriched needs --postcode-from <incident column holding the "
-                             "postcode> (coordinates are not geocoded)")
+        if bool(a.postcodes) == bool(a.postcode_from):
+            raise SystemExit("enriched needs one of --postcodes <postcode,longitude,latitude "
+                             "file> (locate incidents by coordinates) or --postcode-from "
+                             "<incident column holding the postcode>")
         sales = read_table(spark, a.static, HOUSE, a.static_format)
         prices = materialize(postcode_prices(sales, "postcode", "price"))
-        located = incidents.withColumn("postcode", F.col(a.postcode_from))
+        if a.postcodes:
+            points = materialize(read_table(spark, a.postcodes, POSTCODE_POINTS, "csv",
+                                            header="true"))
+            located = nearest_point(incidents, points, "longitude", "latitude", "postcode",
+                                    radius=a.radius)
+        else:
+            located = incidents.withColumn("postcode", F.col(a.postcode_from))
         return enriched_counts(located, prices, "postcode", "timestamp", size, slide,
                                a.watermark, ordered=True), "complete"
     raise SystemExit(f"unknown stream job {name}")
@@ -157,6 +165,11 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--static", nargs="+")
     s.add_argument("--static-format", default="csv")
     s.add_argument("--postcode-from", help="incident column holding the postcode (enriched)")
+    s.add_argument("--postcodes", nargs="+",
+                   help="CSV with header postcode,longitude,latitude: an incident takes the "
+                        "nearest postcode within --radius (enriched)")
+    s.add_argument("--radius", type=float, default=0.01,
+                   help="search radius in coordinate units for --postcodes")
     s.add_argument("--console", action="store_true")
     s.add_argument("--rows", type=int, default=20)
     s.add_argument("--available-now", action="store_true",

@@ -41,6 +41,14 @@ INCIDENT_COLUMNS = [
     ("context", T.StringType()),
 ]
 
+# A postcode reference table for locating incidents: one row per postcode
+# (or per address point) with its coordinates.
+POSTCODE_POINT_COLUMNS = [
+    ("postcode", T.StringType()),
+    ("longitude", T.DoubleType()),
+    ("latitude", T.DoubleType()),
+]
+
 # Columns the incident decode drops after parsing.
 INCIDENT_DROPPED = ("key", "falls_within")
 
@@ -51,6 +59,7 @@ def struct_of(columns) -> T.StructType:
 
 HOUSE = struct_of(HOUSE_COLUMNS)
 INCIDENT = struct_of(INCIDENT_COLUMNS)
+POSTCODE_POINTS = struct_of(POSTCODE_POINT_COLUMNS)
 
 
 def ddl(schema: T.StructType) -> str:

@@ -86,3 +86,43 @@ def test_stream_enriched(spark, scratch, incident_text, house_csv):
                     "--postcode-from", "lsoa_code")
     assert df.count() > 0
     assert set(df.columns) == {"start", "end", "postcode", "average_price", "crime_count"}
+
+
+@pytest.fixture(scope="module")
+def located_incidents(spark, scratch):
+    """Incident lines with coordinates (a user's spot plus a small offset),
+    and a postcode table with every sales postcode at its user's spot."""
+    out = os.path.join(scratch, "located_incident_text")
+    events = spark.read.parquet(f"{SF0001}/events.parquet")
+
+    def spot(key, jitter=F.lit(0.0)):
+        return ((key % 40) * 0.25 + jitter).alias("longitude"), \
+            (F.floor(key / 40) * 0.25).alias("latitude")
+
+    lon, lat = spot(F.col("user_id"), (F.col("event_id") % 3) * 0.01)
+    rows = events.select(
+        F.col("event_id").cast("string").alias("key"), F.lit("2024-01").alias("month"),
+        F.lit("Force").alias("reported_by"), F.lit("Force").alias("falls_within"), lon, lat,
+        F.lit("On or near").alias("location"),
+        F.col("user_id").cast("string").alias("lsoa_code"), F.lit("N").alias("lsoa_name"),
+        F.col("event_type").alias("crime_type"), F.lit("Done").alias("last_outcome_category"),
+        F.lit(None).cast("string").alias("context"))
+    encode_csv(rows, [f.name for f in INCIDENT.fields]).write.text(out)
+    postcodes = os.path.join(scratch, "postcode_points")
+    keys = house_view(spark, SF0001, with_place=False).select("postcode").distinct()
+    keys.select(F.col("postcode").cast("string").alias("postcode"), *spot(F.col("postcode"))) \
+        .write.option("header", "true").csv(postcodes)
+    return out, postcodes
+
+
+def test_stream_enriched_by_coordinates_equals_by_key(spark, scratch, house_csv,
+                                                      located_incidents):
+    """Locating incidents by their coordinates gives the same result as
+    reading the postcode from a column, when every spot is the nearest."""
+    text, postcodes = located_incidents
+    by_place = run_stream(spark, scratch, (text, None), "enriched", "--static", house_csv,
+                          "--postcodes", postcodes, "--radius", "0.1")
+    by_key = run_stream(spark, scratch, (text, None), "enriched", "--static", house_csv,
+                        "--postcode-from", "lsoa_code")
+    rows = sorted(tuple(r) for r in by_place.collect())
+    assert rows and rows == sorted(tuple(r) for r in by_key.collect())
