@@ -8,6 +8,7 @@ every sale and counts distinct incidents) rather than our plans.
 from __future__ import annotations
 
 from ledgerlens.plans import queries as Q
+from ledgerlens.plans import views as V
 
 HOUSE = """house AS (
   SELECT o.o_orderkey AS transaction_id,
@@ -67,6 +68,40 @@ SELECT county, year, {_r('avg_price')} AS avg_price, previous_year,
 FROM l"""
 
 
+def _spot(key: str) -> tuple[str, str]:
+    step = f"CAST({V.SPOT_STEP} AS DOUBLE)"
+    return (f"CAST({key} % {V.SPOT_COLUMNS} AS DOUBLE) * {step}",
+            f"CAST({key} // {V.SPOT_COLUMNS} AS DOUBLE) * {step}")
+
+
+def _offset(key: str, spec: tuple[int, int, float]) -> str:
+    modulus, shift, step = spec
+    return f"CAST({key} % {modulus} - {shift} AS DOUBLE) * CAST({step} AS DOUBLE)"
+
+
+def _locate() -> str:
+    """Nearest postcode within the radius by brute force: every pair closer
+    than twice the radius per axis, exact distance, first by (distance, key)."""
+    px, py = _spot("user_id")
+    rx, ry = _spot("c_custkey")
+    radius = f"CAST({Q.LOCATE_RADIUS} AS DOUBLE)"
+    return f"""WITH p AS (SELECT event_id AS crime_id,
+                  {px} + {_offset('event_id', V.OFFSET_X)} AS longitude,
+                  {py} + {_offset('event_id', V.OFFSET_Y)} AS latitude FROM events),
+r AS (SELECT CAST(c_custkey AS VARCHAR) AS postcode, {rx} AS x, {ry} AS y FROM customer),
+c AS (SELECT p.crime_id, r.postcode,
+             sqrt((r.x - p.longitude) * (r.x - p.longitude)
+                  + (r.y - p.latitude) * (r.y - p.latitude)) AS d
+      FROM p JOIN r ON r.x BETWEEN p.longitude - 2 * {radius} AND p.longitude + 2 * {radius}
+                   AND r.y BETWEEN p.latitude - 2 * {radius} AND p.latitude + 2 * {radius}),
+b AS (SELECT crime_id, postcode, d,
+             row_number() OVER (PARTITION BY crime_id ORDER BY d, postcode) AS rk
+      FROM c WHERE d <= {radius})
+SELECT p.crime_id, {_r('p.longitude')} AS longitude, {_r('p.latitude')} AS latitude,
+       b.postcode, {_r('b.d')} AS distance
+FROM p LEFT JOIN b ON p.crime_id = b.crime_id AND b.rk = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     top_w = _windows("events", *Q.TOP_TYPE_WINDOW)
     count_w = _windows("events", *Q.TYPE_COUNT_WINDOW)
@@ -160,4 +195,6 @@ j AS (SELECT w.start, w."end", w.user_id AS postcode, w.event_id, h.price
 SELECT start, "end", postcode, {_r('avg(price)')} AS average_price,
        count(DISTINCT event_id) AS crime_count
 FROM j GROUP BY start, "end", postcode""",
+
+        "locate_incidents": _locate(),
     }

@@ -28,6 +28,7 @@ from ledgerlens.operators import (
     enriched_counts,
     flag_share,
     monthly_counts,
+    nearest_point,
     postcode_prices,
     threshold_alarm,
     top_groups_by_avg,
@@ -37,7 +38,14 @@ from ledgerlens.operators import (
     value_spread,
     yoy_change,
 )
-from ledgerlens.plans.views import house_lookup, house_view, incident_view, table
+from ledgerlens.plans.views import (
+    house_lookup,
+    house_view,
+    incident_points,
+    incident_view,
+    postcode_points,
+    table,
+)
 from ledgerlens.sources.tables import combine_shuffle
 from ledgerlens.sources.topic import decode_csv, encode_csv
 
@@ -50,6 +58,7 @@ TYPE_COUNT_WINDOW = ("12 hours", "4 hours")
 ENRICH_WINDOW = ("45 hours", "15 hours")
 ALARM_TYPE = "error"
 ALARM_THRESHOLD = 2
+LOCATE_RADIUS = 0.1
 DIGITS = 4
 
 EVENT_FIELDS = ("event_id", "user_id", "event_type", "value", "props")
@@ -155,6 +164,14 @@ def q_stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_columns(res, DIGITS)
 
 
+def q_locate_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each incident's nearest postcode within the radius."""
+    res = nearest_point(incident_points(spark, sf_dir), postcode_points(spark, sf_dir),
+                        "longitude", "latitude", "postcode", LOCATE_RADIUS,
+                        distance_out="distance")
+    return round_columns(res, DIGITS)
+
+
 QUERIES: dict[str, Query] = {
     "top_groups_by_avg": q_top_groups_by_avg,
     "monthly_counts": q_monthly_counts,
@@ -174,4 +191,5 @@ QUERIES: dict[str, Query] = {
     "stream_alarm_counts": q_stream_alarm_counts,
     "stream_alarm": q_stream_alarm,
     "stream_enriched": q_stream_enriched,
+    "locate_incidents": q_locate_incidents,
 }

@@ -17,11 +17,16 @@ town, county            n_name of the customer's nation
 
 Incidents: timestamp <- ts, crime_id <- event_id, crime_type <- event_type,
 postcode <- user_id.
+
+Places on a plane (the tables carry no coordinates): customer key ``k`` sits
+on a lattice at ``((k % 50) * 0.25, floor(k / 50) * 0.25)``; an incident sits
+at its user's spot moved by an offset derived from its id, so its nearest
+postcode is often a neighbour's and sometimes none within the radius.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.summarize import Lookup
@@ -89,3 +94,38 @@ def incident_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("crime_type"),
         F.col("user_id").alias("postcode"),
     )
+
+
+# The lattice that places postcodes and incidents on a plane.
+SPOT_COLUMNS = 50
+SPOT_STEP = 0.25
+OFFSET_X = (13, 6, 0.03)   # (modulus, shift, step): x offset = (id % 13 - 6) * 0.03
+OFFSET_Y = (7, 3, 0.03)    # y offset = (id % 7 - 3) * 0.03
+
+
+def _spot(key: Column) -> tuple[Column, Column]:
+    return ((key % SPOT_COLUMNS).cast("double") * SPOT_STEP,
+            F.floor(key / SPOT_COLUMNS).cast("double") * SPOT_STEP)
+
+
+def _offset(key: Column, spec: tuple[int, int, float]) -> Column:
+    modulus, shift, step = spec
+    return (key % modulus - shift).cast("double") * step
+
+
+def postcode_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``postcode, longitude, latitude``: one point per customer key."""
+    key = F.col("c_custkey")
+    x, y = _spot(key)
+    return table(spark, sf_dir, "customer").select(
+        key.cast("string").alias("postcode"), x.alias("longitude"), y.alias("latitude"))
+
+
+def incident_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``crime_id, longitude, latitude``: each event near its user's spot."""
+    user, event = F.col("user_id"), F.col("event_id")
+    x, y = _spot(user)
+    return table(spark, sf_dir, "events").select(
+        event.alias("crime_id"),
+        (x + _offset(event, OFFSET_X)).alias("longitude"),
+        (y + _offset(event, OFFSET_Y)).alias("latitude"))
