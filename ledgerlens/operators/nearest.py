@@ -9,9 +9,9 @@ none.
 Plan.  The plane is cut into square cells of side ``radius``.  A reference
 point within ``radius`` of a point lies in the point's cell or one of the
 eight around it, so every reference row is copied to the nine cells around
-its own and the copies are grouped per cell into one candidate array.  That
-work is on the reference side, a dimension table.  Points then meet exactly
-one row each in an equi-join on their own cell: the large side is neither
+its own and the copies are grouped per cell into a candidate array.  That
+work is on the reference side, a dimension table.  Points then meet one row
+each in an equi-join on their own cell: the large side is neither
 multiplied nor regrouped afterwards, and the nearest candidate is picked
 inside the row by array functions.  The candidate table is broadcast when
 the reference row count is proven small, otherwise both sides are shuffled
@@ -21,7 +21,9 @@ Work per point is the number of reference points in its 3x3 block, so
 ``radius`` should match the reference's density (a few candidates per
 cell).  Reference rows at the same coordinates collapse to the smallest key
 first (they are equally near to every point, and ties go to the smallest
-key), so a location repeated a million times is one candidate.
+key), so a location repeated a million times is one candidate.  A cell with
+many distinct reference points is split into chunks of bounded size; the
+points of such a cell meet every chunk and keep the best answer.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ from ledgerlens.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_
 # never put a point within ``radius`` two cells away.
 _SIDE_MARGIN = 1.0 + 1e-9
 _NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
+# Candidates per array row: a denser cell is split into several rows.
+DEFAULT_CHUNK = 4096
 
 
 def _cell(coord: Column, side: float) -> Column:
@@ -47,9 +51,15 @@ def candidate_cells(
     x: str,
     y: str,
     radius: float,
+    chunk: int = DEFAULT_CHUNK,
 ) -> DataFrame:
-    """``_cx, _cy, _cands``: per cell, every reference point of its 3x3 block
-    as ``struct(x, y, k)`` (one entry per distinct location)."""
+    """``_cx, _cy, _parts, _cands``: per cell, the reference points of its
+    3x3 block as ``struct(x, y, k)`` (one entry per distinct location).
+
+    A cell with more than ``chunk`` candidates is split into ``_parts``
+    rows of about ``chunk`` entries each (by a hash of the location), so no
+    task collects a dense cell whole.
+    """
     side = radius * _SIDE_MARGIN
     located = (reference
                .filter(F.col(key).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull())
@@ -60,9 +70,15 @@ def candidate_cells(
     copies = located.select("x", "y", "k", F.explode(offsets).alias("o")).select(
         (_cell(F.col("x"), side) + F.col("o.dx")).alias("_cx"),
         (_cell(F.col("y"), side) + F.col("o.dy")).alias("_cy"),
-        F.struct("x", "y", "k").alias("c"),
+        "x", "y", "k",
     )
-    return copies.groupBy("_cx", "_cy").agg(F.collect_list("c").alias("_cands"))
+    sizes = copies.groupBy("_cx", "_cy").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(chunk)).alias("_parts"))
+    part = F.pmod(F.xxhash64("x", "y"), F.col("_parts"))
+    return (copies.join(sizes, ["_cx", "_cy"])
+            .groupBy("_cx", "_cy", "_parts", part.alias("_part"))
+            .agg(F.collect_list(F.struct("x", "y", "k")).alias("_cands"))
+            .drop("_part"))
 
 
 def nearest_point(
@@ -77,6 +93,7 @@ def nearest_point(
     out: str | None = None,
     distance_out: str | None = None,
     broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    chunk: int = DEFAULT_CHUNK,
 ) -> DataFrame:
     """Every row of ``points`` plus ``out``: the ``key`` of the nearest
     ``reference`` row within ``radius`` (X2).
@@ -86,21 +103,34 @@ def nearest_point(
     are not square).  A reference point at exactly ``radius`` counts; equal
     distances go to the smallest key; no reference point within ``radius``,
     or a null coordinate, gives null.  ``distance_out`` adds the distance.
-    Works on a streaming ``points`` frame (stream-static left join).
+
+    A point meets one candidate row, or ``_parts`` rows when its cell is
+    dense (more than ``chunk`` candidates).  Only points of dense cells are
+    then regrouped (by a row id) to take the best of their parts; when no
+    cell is dense, which one job over the reference side checks, the plan
+    has no regrouping at all.  A streaming ``points`` frame joins the static
+    candidates (stream-static left join); it needs every cell to fit one
+    row, and raises otherwise.
     """
     if radius <= 0:
         raise ValueError("radius must be positive")
     out = out or key
     ref = reference.select(F.col(key), F.col(ref_x or x).alias("_rx"),
                            F.col(ref_y or y).alias("_ry"))
-    cells = candidate_cells(ref, key, "_rx", "_ry", radius)
+    cells = candidate_cells(ref, key, "_rx", "_ry", radius, chunk)
     # Each reference location becomes nine candidate entries.
     if row_count_at_most(ref, max(broadcast_rows // len(_NEIGHBOURS), 0)):
         cells = F.broadcast(cells)
+    dense = cells.filter(F.col("_parts") > 1).limit(1).count() > 0
+    if dense and points.isStreaming:
+        raise ValueError(f"a cell has more than {chunk} reference points within its 3x3 "
+                         "block; use a smaller radius or a larger chunk for a stream")
 
     side = radius * _SIDE_MARGIN
     px, py = F.col(x), F.col(y)
     keyed = points.withColumns({"_cx": _cell(px, side), "_cy": _cell(py, side)})
+    if dense:
+        keyed = keyed.withColumn("_pid", F.monotonically_increasing_id())
     joined = keyed.join(cells, ["_cx", "_cy"], "left")
 
     def scored(c: Column) -> Column:
@@ -108,9 +138,17 @@ def nearest_point(
         return F.struct(d.alias("d"), c["k"].alias("k"))
 
     within = F.filter(F.transform("_cands", scored), lambda s: s["d"] <= F.lit(float(radius)))
-    best = F.array_min(within)  # smallest (distance, key); null when empty
-    extra = {out: best["k"]}
+    cols = [c for c in points.columns if c not in (out, distance_out)]
+    # Smallest (distance, key) of the row's candidates; null when none.
+    best = joined.select(*cols, *(["_pid", "_parts"] if dense else []),
+                         F.array_min(within).alias("_best"))
+    if dense:
+        single = best.filter(F.coalesce(F.col("_parts"), F.lit(1)) <= 1).drop("_pid", "_parts")
+        merged = (best.filter(F.col("_parts") > 1).groupBy("_pid")
+                  .agg(*[F.any_value(c).alias(c) for c in cols], F.min("_best").alias("_best"))
+                  .drop("_pid"))
+        best = single.unionByName(merged)
+    extra = [best["_best.k"].alias(out)]
     if distance_out:
-        extra[distance_out] = best["d"]
-    cols = [c for c in points.columns if c not in extra]
-    return joined.select(*cols, *[v.alias(n) for n, v in extra.items()])
+        extra.append(best["_best.d"].alias(distance_out))
+    return best.select(*cols, *extra)

@@ -59,6 +59,26 @@ def test_random_layouts_equal_brute_force(spark, pts, refs, radius):
     assert run(spark, points, refs, radius, broadcast_rows=0) == want  # shuffle join
 
 
+@SETTINGS
+@given(point_lists, ref_lists, st.sampled_from([1.0, 2.5, 7.0]), st.sampled_from([1, 2, 3]))
+def test_dense_cells_split_into_chunks_equal_brute_force(spark, pts, refs, radius, chunk):
+    """Cells with more than ``chunk`` candidates are split; points of such
+    cells take the best of every part."""
+    points = [(i, x, y) for i, (x, y) in enumerate(pts)]
+    want = brute_force(points, refs, radius)
+    assert run(spark, points, refs, radius, chunk=chunk) == want
+    assert run(spark, points, refs, radius, chunk=chunk, broadcast_rows=0) == want
+
+
+def test_duplicate_point_rows_are_kept_in_dense_cells(spark):
+    refs = [(f"K{i}", 0.1 * i, 0.0) for i in range(8)]
+    points = [(1, 0.33, 0.0), (1, 0.33, 0.0), (2, 0.33, 0.0)]
+    res = nearest_point(spark.createDataFrame(points, POINTS), spark.createDataFrame(refs, REFS),
+                        radius=1.0, chunk=2)
+    assert sorted(tuple(r) for r in res.collect()) == [(1, 0.33, 0.0, "K3"), (1, 0.33, 0.0, "K3"),
+                                                       (2, 0.33, 0.0, "K3")]
+
+
 def test_edge_cases(spark):
     refs = [("B", 1.0, 0.0), ("A", -1.0, 0.0),      # equidistant from the origin: A wins
             ("Z", 5.0, 5.0), ("Y", 5.0, 5.0),        # one location, two keys: Y
@@ -130,3 +150,12 @@ def test_stream_equals_batch(spark, scratch):
     assert q.exception() is None
     got = sorted(tuple(r) for r in spark.table(name).collect())
     assert got == sorted(tuple(r) for r in nearest_point(pts, refs, radius=0.2).collect())
+
+
+def test_stream_with_dense_cells_is_refused(spark, scratch):
+    pts, refs = derived_layout(spark)
+    path = os.path.join(scratch, f"points_{uuid.uuid4().hex[:6]}")
+    pts.limit(10).write.parquet(path)
+    stream = spark.readStream.schema(pts.schema).parquet(path)
+    with pytest.raises(ValueError, match="smaller radius"):
+        nearest_point(stream, refs, radius=0.2, chunk=1)
