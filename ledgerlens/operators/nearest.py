@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
 
-# A cell side a hair over the radius: the rounding of ``x / side`` can then
-# never put a point within ``radius`` two cells away.
-_SIDE_MARGIN = 1.0 + 1e-9
+# A cell side a hair over the radius: the rounding of ``x / side`` (about
+# 1e-16 of ``x / side``) can then never put a point within ``radius`` two
+# cells away, for coordinates up to ~1e9 radii from the origin.
+_SIDE_MARGIN = 1.0 + 1e-6
 _NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 # Candidates per array row: a denser cell is split into several rows.
 DEFAULT_CHUNK = 4096
@@ -45,6 +46,30 @@ def _cell(coord: Column, side: float) -> Column:
     return F.floor(coord / F.lit(side))
 
 
+def _copies(reference: DataFrame, key: str, x: str, y: str, radius: float) -> DataFrame:
+    """``_cx, _cy, x, y, k``: each distinct reference location (smallest key)
+    once per cell of the 3x3 block around its own."""
+    side = radius * _SIDE_MARGIN
+    located = (reference
+               .filter(F.col(key).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull())
+               .groupBy(F.col(x).alias("x"), F.col(y).alias("y"))
+               .agg(F.min(key).alias("k")))
+    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+                        for dx, dy in _NEIGHBOURS])
+    return located.select("x", "y", "k", F.explode(offsets).alias("o")).select(
+        (_cell(F.col("x"), side) + F.col("o.dx")).alias("_cx"),
+        (_cell(F.col("y"), side) + F.col("o.dy")).alias("_cy"),
+        "x", "y", "k",
+    )
+
+
+def _cell_parts(copies: DataFrame, chunk: int) -> DataFrame:
+    """``_cx, _cy, _parts``: how many rows of about ``chunk`` candidates each
+    cell's array is split into (1 for all but dense cells)."""
+    return copies.groupBy("_cx", "_cy").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(chunk)).alias("_parts"))
+
+
 def candidate_cells(
     reference: DataFrame,
     key: str,
@@ -58,25 +83,14 @@ def candidate_cells(
 
     A cell with more than ``chunk`` candidates is split into ``_parts``
     rows of about ``chunk`` entries each (by a hash of the location), so no
-    task collects a dense cell whole.
+    array holds a dense cell whole.  The copies are shuffled once, by cell:
+    the part counts join them on the cell, and the grouping and the join
+    with the points reuse that partitioning.
     """
-    side = radius * _SIDE_MARGIN
-    located = (reference
-               .filter(F.col(key).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull())
-               .groupBy(F.col(x).alias("x"), F.col(y).alias("y"))
-               .agg(F.min(key).alias("k")))
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                        for dx, dy in _NEIGHBOURS])
-    copies = located.select("x", "y", "k", F.explode(offsets).alias("o")).select(
-        (_cell(F.col("x"), side) + F.col("o.dx")).alias("_cx"),
-        (_cell(F.col("y"), side) + F.col("o.dy")).alias("_cy"),
-        "x", "y", "k",
-    )
-    sizes = copies.groupBy("_cx", "_cy").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(chunk)).alias("_parts"))
-    part = F.pmod(F.xxhash64("x", "y"), F.col("_parts"))
-    return (copies.join(sizes, ["_cx", "_cy"])
-            .groupBy("_cx", "_cy", "_parts", part.alias("_part"))
+    copies = _copies(reference, key, x, y, radius)
+    return (copies.join(_cell_parts(copies, chunk), ["_cx", "_cy"])
+            .groupBy("_cx", "_cy", "_parts", F.pmod(F.xxhash64("x", "y"), F.col("_parts"))
+                     .alias("_part"))
             .agg(F.collect_list(F.struct("x", "y", "k")).alias("_cands"))
             .drop("_part"))
 
@@ -121,7 +135,8 @@ def nearest_point(
     # Each reference location becomes nine candidate entries.
     if row_count_at_most(ref, max(broadcast_rows // len(_NEIGHBOURS), 0)):
         cells = F.broadcast(cells)
-    dense = cells.filter(F.col("_parts") > 1).limit(1).count() > 0
+    parts = _cell_parts(_copies(ref, key, "_rx", "_ry", radius), chunk)
+    dense = parts.filter(F.col("_parts") > 1).limit(1).count() > 0
     if dense and points.isStreaming:
         raise ValueError(f"a cell has more than {chunk} reference points within its 3x3 "
                          "block; use a smaller radius or a larger chunk for a stream")
