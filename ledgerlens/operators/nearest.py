@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from ledgerlens.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
 
 # A cell side a hair over the radius: the rounding of ``x / side`` (about
 # 1e-16 of ``x / side``) can then never put a point within ``radius`` two
@@ -63,11 +63,9 @@ def _copies(reference: DataFrame, key: str, x: str, y: str, radius: float) -> Da
     )
 
 
-def _cell_parts(copies: DataFrame, chunk: int) -> DataFrame:
-    """``_cx, _cy, _parts``: how many rows of about ``chunk`` candidates each
-    cell's array is split into (1 for all but dense cells)."""
-    return copies.groupBy("_cx", "_cy").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(chunk)).alias("_parts"))
+def _cell_sizes(copies: DataFrame) -> DataFrame:
+    """``_cx, _cy, _n``: candidates per cell."""
+    return copies.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_n"))
 
 
 def candidate_cells(
@@ -76,7 +74,7 @@ def candidate_cells(
     x: str,
     y: str,
     radius: float,
-    chunk: int = DEFAULT_CHUNK,
+    chunk: int | None = DEFAULT_CHUNK,
 ) -> DataFrame:
     """``_cx, _cy, _parts, _cands``: per cell, the reference points of its
     3x3 block as ``struct(x, y, k)`` (one entry per distinct location).
@@ -85,13 +83,20 @@ def candidate_cells(
     rows of about ``chunk`` entries each (by a hash of the location), so no
     array holds a dense cell whole.  The copies are shuffled once, by cell:
     the part counts join them on the cell, and the grouping and the join
-    with the points reuse that partitioning.
+    with the points reuse that partitioning.  ``chunk=None`` skips the split
+    (one row per cell) for a reference known to have no dense cell.
     """
     copies = _copies(reference, key, x, y, radius)
-    return (copies.join(_cell_parts(copies, chunk), ["_cx", "_cy"])
+    entry = F.collect_list(F.struct("x", "y", "k")).alias("_cands")
+    if chunk is None:
+        return copies.groupBy("_cx", "_cy").agg(entry).select(
+            "_cx", "_cy", F.lit(1).cast("bigint").alias("_parts"), "_cands")
+    parts = _cell_sizes(copies).select(
+        "_cx", "_cy", F.ceil(F.col("_n") / F.lit(chunk)).alias("_parts"))
+    return (copies.join(parts, ["_cx", "_cy"])
             .groupBy("_cx", "_cy", "_parts", F.pmod(F.xxhash64("x", "y"), F.col("_parts"))
                      .alias("_part"))
-            .agg(F.collect_list(F.struct("x", "y", "k")).alias("_cands"))
+            .agg(entry)
             .drop("_part"))
 
 
@@ -118,28 +123,31 @@ def nearest_point(
     distances go to the smallest key; no reference point within ``radius``,
     or a null coordinate, gives null.  ``distance_out`` adds the distance.
 
-    A point meets one candidate row, or ``_parts`` rows when its cell is
-    dense (more than ``chunk`` candidates).  Only points of dense cells are
-    then regrouped (by a row id) to take the best of their parts; when no
-    cell is dense, which one job over the reference side checks, the plan
-    has no regrouping at all.  A streaming ``points`` frame joins the static
-    candidates (stream-static left join); it needs every cell to fit one
-    row, and raises otherwise.
+    One job over the reference side measures the candidate table: its
+    total entries decide the broadcast (at most ``broadcast_rows``), its
+    largest cell whether any cell is dense (over ``chunk`` candidates).  A
+    point meets one candidate row, or ``_parts`` rows in a dense cell; only
+    points of dense cells are then regrouped (by a row id) to take the best
+    of their parts, and with no dense cell the plan has no regrouping at
+    all.  A streaming ``points`` frame joins the static candidates
+    (stream-static left join); it needs every cell to fit one row, and
+    raises otherwise.
     """
     if radius <= 0:
         raise ValueError("radius must be positive")
     out = out or key
     ref = reference.select(F.col(key), F.col(ref_x or x).alias("_rx"),
                            F.col(ref_y or y).alias("_ry"))
-    cells = candidate_cells(ref, key, "_rx", "_ry", radius, chunk)
-    # Each reference location becomes nine candidate entries.
-    if row_count_at_most(ref, max(broadcast_rows // len(_NEIGHBOURS), 0)):
-        cells = F.broadcast(cells)
-    parts = _cell_parts(_copies(ref, key, "_rx", "_ry", radius), chunk)
-    dense = parts.filter(F.col("_parts") > 1).limit(1).count() > 0
+    sizes = _cell_sizes(_copies(ref, key, "_rx", "_ry", radius))
+    stats = sizes.agg(F.max("_n").alias("most"), F.sum("_n").alias("entries")).first()
+    most, entries = stats["most"] or 0, stats["entries"] or 0
+    dense = most > chunk
     if dense and points.isStreaming:
-        raise ValueError(f"a cell has more than {chunk} reference points within its 3x3 "
-                         "block; use a smaller radius or a larger chunk for a stream")
+        raise ValueError(f"a cell has {most} reference points within its 3x3 block, over "
+                         f"{chunk}; use a smaller radius or a larger chunk for a stream")
+    cells = candidate_cells(ref, key, "_rx", "_ry", radius, chunk if dense else None)
+    if entries <= broadcast_rows:
+        cells = F.broadcast(cells)
 
     side = radius * _SIDE_MARGIN
     px, py = F.col(x), F.col(y)
