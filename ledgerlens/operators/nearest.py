@@ -146,8 +146,9 @@ def nearest_point(
         raise ValueError(f"a cell has {most} reference points within its 3x3 block, over "
                          f"{chunk}; use a smaller radius or a larger chunk for a stream")
     cells = candidate_cells(ref, key, "_rx", "_ry", radius, chunk if dense else None)
-    if entries <= broadcast_rows:
-        cells = F.broadcast(cells)
+    # The planner's estimate misses the ninefold copy, so it would broadcast
+    # a large table by its file-size threshold: decide from the measurement.
+    cells = F.broadcast(cells) if entries <= broadcast_rows else cells.hint("merge")
 
     side = radius * _SIDE_MARGIN
     px, py = F.col(x), F.col(y)

@@ -159,3 +159,15 @@ def test_stream_with_dense_cells_is_refused(spark, scratch):
     stream = spark.readStream.schema(pts.schema).parquet(path)
     with pytest.raises(ValueError, match="smaller radius"):
         nearest_point(stream, refs, radius=0.2, chunk=1)
+
+
+def test_large_reference_is_shuffle_joined_not_broadcast(spark):
+    """Above the measured bound the candidate table is never broadcast, even
+    when the planner's size estimate (which misses the ninefold copy) is
+    under its threshold."""
+    pts, refs = derived_layout(spark)
+    res = nearest_point(pts, refs, radius=0.2, broadcast_rows=0)
+    res.write.format("noop").mode("overwrite").save()
+    above = scan_ancestors(plan_text(res), "events.parquet")
+    assert any(op.startswith("SortMergeJoin LeftOuter") for op in above)
+    assert not any(op.startswith("BroadcastHashJoin") for op in above)
