@@ -14,8 +14,8 @@ work is on the reference side, a dimension table.  Points then meet one row
 each in an equi-join on their own cell: the large side is neither
 multiplied nor regrouped afterwards, and the nearest candidate is picked
 inside the row by array functions.  The candidate table is broadcast when
-the reference row count is proven small, otherwise both sides are shuffled
-on the cell (AQE splits a cell that holds many points).
+its measured size is under a bound, otherwise both sides are shuffled on
+the cell (AQE splits a cell that holds many points).
 
 Work per point is the number of reference points in its 3x3 block, so
 ``radius`` should match the reference's density (a few candidates per
