@@ -126,3 +126,12 @@ def test_stream_enriched_by_coordinates_equals_by_key(spark, scratch, house_csv,
                         "--postcode-from", "lsoa_code")
     rows = sorted(tuple(r) for r in by_place.collect())
     assert rows and rows == sorted(tuple(r) for r in by_key.collect())
+
+
+def test_stream_enriched_needs_one_way_to_locate(spark, scratch, house_csv, incident_text):
+    path, _ = incident_text
+    base = ["stream", "enriched", "--format", "text", "--option", f"path={path}",
+            "--output", os.path.join(scratch, "unused"), "--static", house_csv]
+    for extra in ([], ["--postcode-from", "lsoa_code", "--postcodes", house_csv]):
+        with pytest.raises(SystemExit):
+            cli.main(base + extra, spark)
