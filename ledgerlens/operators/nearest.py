@@ -128,8 +128,9 @@ def nearest_point(
     largest cell whether any cell is dense (over ``chunk`` candidates).  A
     point meets one candidate row, or ``_parts`` rows in a dense cell; only
     points of dense cells are then regrouped (by a row id) to take the best
-    of their parts, and with no dense cell the plan has no regrouping at
-    all.  A streaming ``points`` frame joins the static candidates
+    of their parts (the points are then read by two branches of a union,
+    one of them filtered to dense cells); with no dense cell the plan has no
+    regrouping at all.  A streaming ``points`` frame joins the static candidates
     (stream-static left join); it needs every cell to fit one row, and
     raises otherwise.
     """
