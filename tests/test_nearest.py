@@ -171,3 +171,23 @@ def test_large_reference_is_shuffle_joined_not_broadcast(spark):
     above = scan_ancestors(plan_text(res), "events.parquet")
     assert any(op.startswith("SortMergeJoin LeftOuter") for op in above)
     assert not any(op.startswith("BroadcastHashJoin") for op in above)
+
+
+@pytest.mark.parametrize("broadcast_rows", [2_000_000, 0])
+def test_third_of_reference_in_one_cell_equals_brute_force(spark, broadcast_rows):
+    """A third of the postcodes at distinct spots inside one cell, at the
+    spot of the user holding a third of the events: that cell is split into
+    chunks, its incidents take the best of every chunk."""
+    pts, refs = derived_layout(spark)
+    key = F.col("postcode").cast("long")
+    hot = key % 3 == 0
+    refs = refs.select(
+        "postcode",
+        F.when(hot, 1.75 + (key % 97) * 0.0009).otherwise(F.col("longitude")).alias("longitude"),
+        F.when(hot, (key % 89) * 0.001).otherwise(F.col("latitude")).alias("latitude"))
+    got = {r.id: (r.postcode, r.dist) for r in nearest_point(
+        pts, refs, radius=0.2, distance_out="dist", broadcast_rows=broadcast_rows,
+        chunk=64).collect()}
+    want = brute_force([tuple(r) for r in pts.collect()], [tuple(r) for r in refs.collect()], 0.2)
+    assert got == want
+    assert any(v[0] is not None and int(v[0]) % 3 == 0 for v in want.values())
