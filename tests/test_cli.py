@@ -124,8 +124,12 @@ def test_stream_enriched_by_coordinates_equals_by_key(spark, scratch, house_csv,
                           "--postcodes", postcodes, "--radius", "0.1")
     by_key = run_stream(spark, scratch, (text, None), "enriched", "--static", house_csv,
                         "--postcode-from", "lsoa_code")
-    rows = sorted(tuple(r) for r in by_place.collect())
-    assert rows and rows == sorted(tuple(r) for r in by_key.collect())
+    # File sources carry no event time: each run stamps arrival time, so the
+    # two runs' windows differ; what they hold must not.
+    def held(df):
+        return sorted((r.postcode, r.average_price, r.crime_count) for r in df.collect())
+
+    assert held(by_place) and held(by_place) == held(by_key)
 
 
 def test_stream_enriched_needs_one_way_to_locate(spark, scratch, house_csv, incident_text):
