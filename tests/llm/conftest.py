@@ -1,0 +1,30 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def rows(spark):
+    """Rows of a table at sf0.01, as tuples of the named columns."""
+    def read(name, *columns):
+        return [tuple(r) for r in spark.read.parquet(f"{DIR}/{name}.parquet").select(*columns).collect()]
+    return read
+
+
+@pytest.fixture(scope="session")
+def result(spark):
+    """A registered query's rows at sf0.01 (each query runs once)."""
+    import __spark_entry__ as entry
+
+    done = {}
+
+    def run(name):
+        if name not in done:
+            done[name] = [r.asDict() for r in entry.queries()[name](spark, DIR).collect()]
+        return done[name]
+    return run
