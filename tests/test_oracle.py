@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from ledgerlens import plans
 from compare import diff, duck, duck_fingerprint, spark_fingerprint
 from conftest import SF0001, SF001
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = plans.QUERIES
+SQL = plans.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -7,8 +7,8 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from conftest import SF0001, SF001
+from ledgerlens import plans
 from ledgerlens.plans import house_view
 from ledgerlens.plans.inspect import (
     plan_text,
@@ -19,7 +19,7 @@ from ledgerlens.plans.inspect import (
 )
 from ledgerlens.sources import land_raw
 
-QUERIES = entry.queries()
+QUERIES = plans.QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -11,13 +11,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from compare import diff, duck, duck_fingerprint, spark_fingerprint
 from compare import TABLES
 from conftest import SF001
+from ledgerlens import plans
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = plans.QUERIES
+SQL = plans.oracle_sql()
 
 
 @pytest.fixture(scope="module")
