@@ -54,7 +54,7 @@ def _anchors(docs: DataFrame, window: int, short: int) -> DataFrame:
 
 
 def _candidates(marked: DataFrame, window: int, short: int) -> DataFrame:
-    """(doc_id, at, h1, h2): full windows (128-bit hash) whose least short window is among the document's ``hs``."""
+    """(doc_id, at, h1, h2): full windows (96-bit hash) whose least short window is among the document's ``hs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, other = WordHasher(PLAIN), WordHasher(PLAIN, seed=2)
         for batch in batches:
@@ -77,9 +77,9 @@ def _candidates(marked: DataFrame, window: int, short: int) -> DataFrame:
                 at, doc = at[mine], doc[mine]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[part][doc], pa.int64()), pa.array((at - first[doc]).astype(np.int32)),
-                    pa.array(h1[at].view(np.int64)), pa.array(h2[at].view(np.int64))], ["doc_id", "at", "h1", "h2"])
+                    pa.array(h1[at].view(np.int64)), pa.array((h2[at] >> U64(32)).astype(np.uint32).view(np.int32))], ["doc_id", "at", "h1", "h2"])
 
-    return marked.mapInArrow(run, "doc_id long, at int, h1 long, h2 long")
+    return marked.mapInArrow(run, "doc_id long, at int, h1 long, h2 int")
 
 
 def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
@@ -115,7 +115,7 @@ def longest_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     while not level.isEmpty():
         tail = level.select(F.col("doc_id").alias("_id"), (F.col("at") - length).alias("_at"), F.col("h1").alias("t1"), F.col("h2").alias("t2"))
         pairs = materialize(level.join(tail, F.expr("doc_id = _id AND at = _at")).select(
-            "doc_id", "at", F.xxhash64("h1", "t1").alias("h1"), F.xxhash64("h2", "t2").alias("h2")), "level")
+            "doc_id", "at", F.xxhash64("h1", "t1").alias("h1"), F.hash("h2", "t2", "h1").alias("h2")), "level")
         again = materialize(pairs.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
                             .filter("low < high").select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2")), "repeated")
         level = materialize(pairs.join(again, F.expr("h1 = _h1 AND h2 = _h2"), "left_semi"), "level")
