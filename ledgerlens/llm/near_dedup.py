@@ -156,6 +156,66 @@ def _across(pairs: DataFrame, group: DataFrame) -> DataFrame:
             .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
 
+def _split(buckets: DataFrame, group: DataFrame) -> DataFrame:
+    """Rows (bucket, rep, component) of buckets whose members span components."""
+    own = buckets.select("bucket", "rep").join(group, F.expr("rep = id"), "left")
+    own = materialize(own.select("bucket", "rep", F.coalesce("component", "rep").alias("component")), "members")
+    spread = own.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    spread = materialize(spread.filter("low <> high").select(F.col("bucket").alias("_bucket")), "split-buckets")
+    return materialize(own.join(spread, F.expr("bucket = _bucket"), "left_semi"), "members")
+
+
+def _rare_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs of ``members`` (bucket, rep, component) in different components that may still reach ``percent``.
+
+    An exact prefix filter in place of all pairs of a bucket.  Members that
+    meet in buckets, directly or through others, form a cluster; a member's
+    shingles are ordered by how many of its cluster have them, rarest first.
+    If the first shingle that two sets of n and m have in common is at
+    positions p and q, their intersection is at most min(n - p, m - q), which
+    bounds how late it may come.  So sets are joined on their rarest shingles
+    only, and copies that share no more than their common source never meet.
+    One side leaves out the largest component of each cluster.
+    """
+    first = members.groupBy("bucket").agg(F.min("rep").alias("a")).withColumnRenamed("bucket", "_bucket")
+    clusters = components(members.join(first, F.expr("bucket = _bucket")).select("a", F.col("rep").alias("b")))
+    who = members.select(F.col("rep").alias("_rep"), F.col("component").alias("own")).distinct()
+    who = materialize(clusters.join(who, F.expr("id = _rep")).select("id", F.col("component").alias("cluster"), "own"), "clusters")
+    sizes = who.groupBy("cluster", "own").agg(F.count("*").alias("n")).groupBy("cluster").agg(
+        F.max(F.struct("n", "own")).alias("top")).select("cluster", F.col("top.own").alias("largest"))
+    who = materialize(who.join(sizes, "cluster"), "clusters")
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher(LOWER)
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for part in parts(texts, 1 << 20):
+                sets = shingle_sets(texts[part], k, hasher)
+                n = np.array(list(map(len, sets)), np.int64)
+                rows = pa.array(np.repeat(np.arange(part.start, part.stop), n))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("cluster").take(rows), batch.column("rep").take(rows), pa.array(np.repeat(n, n)),
+                     pa.array(np.concatenate(sets).view(np.int64))], ["cluster", "rep", "n", "h"])
+
+    shingles = texts.join(who, F.expr("rep = id")).select("cluster", "rep", "text").mapInArrow(
+        explode, "cluster long, rep long, n long, h long")
+    shingles = materialize(shingles, "shingles")
+    common = materialize(shingles.groupBy("cluster", "h").agg(F.count("*").alias("df"), F.min("n").alias("m"))
+                         .withColumnsRenamed({"cluster": "_cluster", "h": "_h"}), "frequencies")
+    least = common.groupBy("_cluster").agg(F.min("m").alias("least")).withColumnRenamed("_cluster", "_c")
+    ordered = shingles.join(common, F.expr("cluster = _cluster AND h = _h")).select("cluster", "rep", "n", "h", "df")
+    ordered = ordered.withColumn("at", F.expr("row_number() OVER (PARTITION BY rep ORDER BY df, h) - 1"))
+    prefix = ordered.join(least, F.expr("cluster = _c")).filter(
+        f"df > 1 AND 100 * (n - at) >= {percent} * (at + greatest(least, ceil({percent} * n / 100)))")
+    prefix = materialize(prefix.join(who.select("id", "own", "largest"), F.expr("rep = id")).select(
+        "cluster", "h", "rep", "n", "at", "own", "largest"), "prefixes")
+    x = prefix.filter("own <> largest").select(*[F.col(c).alias(f"_{c}") for c in ("cluster", "h", "rep", "n", "at", "own")])
+    most = "least(n - at, _n - _at)"
+    pairs = prefix.join(x, F.expr(
+        f"cluster = _cluster AND h = _h AND own <> _own AND 100 * {most} >= {percent} * (n + _n - {most})"))
+    return pairs.select(F.least("rep", "_rep").alias("a"), F.greatest("rep", "_rep").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): n_shingles, component_id, kept.
 
@@ -165,10 +225,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     the row's id is its component's.
 
     Candidates come from bands in rounds, so that no bucket is expanded into
-    all its pairs: first each class against the smallest member of its
-    buckets, then only members of a bucket that are still in different
-    components, against hubs 2**t .. 2**(t+1) - 1 of their bucket in round t,
-    until no bucket has such members.  No bucket is capped.
+    all its pairs: first each class against the hubs of its buckets, then only members of a bucket that are still in different
+    components, against members 2**t .. 2**(t+1) - 1 of their bucket in round
+    t, until no bucket has such members.  Before those rounds, members are
+    ruled out that share too few shingles with all others they could meet
+    (:func:`_possible`, an exact bound).  No bucket is capped.
 
     Null or wordless texts have an empty set and stay alone; rows with a null
     id have a null component and are kept; rows that repeat an id are one
@@ -184,10 +245,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     bands = reps.select("rep", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.xxhash64(i, F.substring(F.col("signature"), i * ROWS + 1, F.lit(ROWS))))).alias("bucket"))
-    hubs = bands.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    hubs = materialize(hubs.select(F.col("bucket").alias("_bucket"), "hub"), "hubs")
-    buckets = materialize(bands.join(hubs, F.expr("bucket = _bucket")).select("bucket", "hub", "rep"), "buckets")
-    met = materialize(buckets.select("rep").distinct(), "met")
+    full = materialize(bands.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+                       .select(F.col("bucket").alias("_bucket"), "n"), "full-buckets")
+    buckets = materialize(bands.join(full, F.expr("bucket = _bucket")).select("bucket", "rep", "n"), "buckets")
+    # a member that meets many others is the likely centre of its near copies: it is the hub of its buckets
+    met = materialize(buckets.groupBy("rep").agg(F.sum("n").alias("met")), "met")
+    buckets = materialize(buckets.join(met.withColumnRenamed("rep", "_rep"), F.expr("rep = _rep"))
+                          .select("bucket", "rep", "met"), "buckets")
+    hubs = materialize(buckets.groupBy("bucket").agg(F.max(F.struct("met", (-F.col("rep")).alias("o"))).alias("h"))
+                       .select(F.col("bucket").alias("_bucket"), (-F.col("h.o")).alias("hub")), "hubs")
+    met = met.select("rep")
     signed_met = materialize(reps.join(met, "rep", "left_semi"), "met-signatures")
     texts = materialize(keep_rows(d.filter("doc_id IS NOT NULL"), met, "doc_id").select(
         F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep"]), "met-texts")
@@ -196,38 +263,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         left = materialize(prune(pairs, signed_met, percent), "pruned")
         return materialize(verify(left, texts, k, percent), "links")
 
-    stars = materialize(buckets.filter("rep > hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(),
-                        "stars")
-    links = linked(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    group = materialize(components(links), "components")
+    stars = buckets.join(hubs, F.expr("bucket = _bucket")).filter("rep <> hub").select(
+        F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"), "hub", "rep").distinct()
+    stars = materialize(stars, "stars")
+    nearest = stars.groupBy("rep").agg(F.min("hub").alias("hub"))
+    links = linked(nearest.select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct())
+    stars = stars.select("a", "b").distinct()
+    group = components(links)
     rest = materialize(_across(stars, group), "pairs")
     if not rest.isEmpty():
         links = links.union(linked(rest))
-        group = materialize(components(links), "components")
-    tried, turn = stars, 1
-    while True:
-        # members of buckets that still span components, numbered within their bucket
-        members = buckets.select("bucket", "rep").join(
-            group, F.expr("rep = id"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("c"))
-        members = materialize(members, "members")
-        split = materialize(members.groupBy("bucket").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n"))
-            .filter(f"low <> high AND n > {turn + 1}").select(F.col("bucket").alias("_bucket")), "split-buckets")
-        if split.isEmpty():
-            break
-        ranked = materialize(members.join(split, F.expr("bucket = _bucket"), "left_semi").withColumn(
-            "at", F.expr("row_number() OVER (PARTITION BY bucket ORDER BY rep) - 1")), "ranked")
-        x = ranked.filter((F.col("at") >= turn) & (F.col("at") < 2 * turn)).select(
-            F.col("bucket").alias("_bucket"), F.col("rep").alias("a"), F.col("c").alias("ca"))
-        y = ranked.filter(F.col("at") > turn).select("bucket", F.col("rep").alias("b"), F.col("c").alias("cb"))
-        pairs = x.join(y, F.expr("bucket = _bucket AND a < b AND ca <> cb")).select("a", "b").distinct()
-        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        turn *= 2
-        if pairs.isEmpty():
-            continue
-        tried = tried.union(pairs)
-        links = links.union(linked(pairs))
-        group = materialize(components(links), "components")
+        group = components(links)
+    members = _split(buckets, group)
+    if not members.isEmpty():
+        rest = materialize(_rare_pairs(members, texts, k, percent).join(stars, ["a", "b"], "left_anti"), "pairs")
+        links = links.union(linked(rest))
+        group = components(links)
 
     member = classes.join(group, F.expr("rep = id"), "left").select(
         F.col("set_key").alias("_key"), F.coalesce("component", "rep").alias("c"))
