@@ -148,14 +148,6 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return both.mapInArrow(run, "a long, b long")
 
 
-def _across(pairs: DataFrame, group: DataFrame) -> DataFrame:
-    """The pairs whose ends are not in one component yet."""
-    a = group.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-    b = group.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    return (pairs.join(a, "a", "left").join(b, "b", "left")
-            .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-
-
 def _split(buckets: DataFrame, group: DataFrame) -> DataFrame:
     """Rows (bucket, rep, component) of buckets whose members span components."""
     own = buckets.select("bucket", "rep").join(group, F.expr("rep = id"), "left")
@@ -250,10 +242,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     buckets = materialize(bands.join(full, F.expr("bucket = _bucket")).select("bucket", "rep", "n"), "buckets")
     # a member that meets many others is the likely centre of its near copies: it is the hub of its buckets
     met = materialize(buckets.groupBy("rep").agg(F.sum("n").alias("met")), "met")
-    buckets = materialize(buckets.join(met.withColumnRenamed("rep", "_rep"), F.expr("rep = _rep"))
-                          .select("bucket", "rep", "met"), "buckets")
-    hubs = materialize(buckets.groupBy("bucket").agg(F.max(F.struct("met", (-F.col("rep")).alias("o"))).alias("h"))
-                       .select(F.col("bucket").alias("_bucket"), (-F.col("h.o")).alias("hub")), "hubs")
+    hubs = buckets.join(met.withColumnRenamed("rep", "_rep"), F.expr("rep = _rep")).groupBy("bucket").agg(
+        F.max(F.struct("met", (-F.col("rep")).alias("o"))).alias("h"))
+    hubs = hubs.select(F.col("bucket").alias("_bucket"), (-F.col("h.o")).alias("hub"))
     met = met.select("rep")
     signed_met = materialize(reps.join(met, "rep", "left_semi"), "met-signatures")
     texts = materialize(keep_rows(d.filter("doc_id IS NOT NULL"), met, "doc_id").select(
@@ -264,16 +255,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         return materialize(verify(left, texts, k, percent), "links")
 
     stars = buckets.join(hubs, F.expr("bucket = _bucket")).filter("rep <> hub").select(
-        F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"), "hub", "rep").distinct()
+        F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
     stars = materialize(stars, "stars")
-    nearest = stars.groupBy("rep").agg(F.min("hub").alias("hub"))
-    links = linked(nearest.select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct())
-    stars = stars.select("a", "b").distinct()
+    links = linked(stars)
     group = components(links)
-    rest = materialize(_across(stars, group), "pairs")
-    if not rest.isEmpty():
-        links = links.union(linked(rest))
-        group = components(links)
     members = _split(buckets, group)
     if not members.isEmpty():
         rest = materialize(_rare_pairs(members, texts, k, percent).join(stars, ["a", "b"], "left_anti"), "pairs")
