@@ -115,7 +115,7 @@ def chat_windows(conversations: DataFrame, budget: int = BUDGET, history_turns:
 
     later = F.when(F.size("t") > 1, F.sequence(F.lit(1), F.size("t") - 1)).otherwise(F.array().cast("array<int>"))
     d = d.select("*", F.aggregate(later, F.array(F.lit(0)), step).alias("starts"))
-    d = d.select("*", F.posexplode("starts").alias("window", "s"))
+    d = d.select("*", F.posexplode_outer("starts").alias("window", "s"))
     d = d.withColumn("e", F.coalesce(F.get("starts", F.col("window") + 1), F.size("t")))
     d = d.withColumn("back", F.get("h", F.col("s"))["turns"]).withColumn("lead", F.get("h", F.col("s"))["lead"])
     opening = F.when(F.col("lead") > 0, F.array("system")).otherwise(F.array().cast(f"array<{_TURN}>"))
