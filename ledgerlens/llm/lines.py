@@ -30,7 +30,7 @@ def line_windows(docs: DataFrame, size: int = 3) -> DataFrame:
         j.alias("at"),
         F.transform(F.slice("a", j + 1, size), lambda s: s["i"]).alias("lines"),
         F.unhex(F.md5(F.array_join(F.transform(F.slice("a", j + 1, size), lambda s: s["x"]), "\n"))).alias("key")))
-    return d.select("doc_id", F.explode(windows).alias("s")).select("doc_id", "s.*")
+    return d.select("doc_id", F.explode_outer(windows).alias("s")).select("doc_id", "s.*")
 
 
 def repeated_lines(docs: DataFrame, size: int = 3) -> DataFrame:
