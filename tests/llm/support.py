@@ -1,10 +1,7 @@
-import os
-import sys
+"""Fixtures of these tests (imported by name: a second conftest would hide the first)."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 DIR = "/root/testdata/sf0.01"
 
 

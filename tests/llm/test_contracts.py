@@ -1,6 +1,7 @@
 """Every registered query of the subpackage against a brute-force version, on whole tables at sf0.01."""
 
 import brute
+from support import result, rows  # noqa: F401
 
 
 def table(rows, *columns, key="doc_id"):
