@@ -41,11 +41,12 @@ from ledgerlens.operators import (
     value_spread,
     yoy_change,
 )
-from ledgerlens.schemas import HOUSE, INCIDENT, POSTCODE_POINTS
+from ledgerlens.schemas import HOUSE, INCIDENT, INCIDENT_HEADER, POSTCODE_POINTS
 from ledgerlens.session import build_session
 from ledgerlens.sinks import save_table
 from ledgerlens.sources import decode_csv, read_table, read_topic
 from ledgerlens.streaming import (
+    alarm_rows,
     checkpoint_path,
     console_rows,
     epoch_files,
@@ -88,14 +89,17 @@ def _stream_job(name: str, incidents: DataFrame, a: argparse.Namespace,
     size, slide = a.size or size, a.slide or slide
     args = ("timestamp", "crime_type", size, slide, a.watermark)
     if name == "top_type":
-        return top_type(incidents, *args), "complete"
+        if a.mode != "complete" and not a.per_window:
+            raise SystemExit("top_type needs --per-window, or --mode complete for the one top row")
+        return top_type(incidents, *args, per_window=a.per_window), a.mode
+    ordered = a.mode == "complete"  # a stream can only sort what it holds whole
     if name == "type_counts":
-        return type_counts(incidents, *args, ordered=True), "complete"
+        return type_counts(incidents, *args, ordered=ordered), a.mode
     if name == "distinct_types":
-        return distinct_types(incidents, *args, ordered=True), "complete"
+        return distinct_types(incidents, *args, ordered=ordered), a.mode
     if name == "alarm":
         return type_window_counts(incidents, "timestamp", "crime_type", a.alarm_type, size,
-                                  slide, a.watermark, a.threshold), "complete"
+                                  slide, a.watermark, a.threshold), a.mode
     if name == "enriched":
         if not a.static:
             raise SystemExit("enriched needs --static <house sales file>")
@@ -105,18 +109,26 @@ def _stream_job(name: str, incidents: DataFrame, a: argparse.Namespace,
                              "<incident column holding the postcode>")
         sales = read_table(spark, a.static, HOUSE, a.static_format)
         prices = materialize(postcode_prices(sales, "postcode", "price"))
+        if a.postcodes and a.radius is None:
+            raise SystemExit("--postcodes needs --radius; incidents with no postcode within it "
+                             "are counted under a null postcode")
         if a.postcodes:
             points = materialize(read_table(spark, a.postcodes, POSTCODE_POINTS, "csv",
                                             header="true"))
             located = nearest_point(incidents, points, "longitude", "latitude", "postcode",
-                                    radius=a.radius)
+                                    radius=a.radius, degrees=True)
         else:
             located = incidents.withColumn("postcode", F.col(a.postcode_from))
-        return enriched_counts(located, prices, "postcode", "timestamp", size, slide,
-                               a.watermark, ordered=True), "complete"
+        return enriched_counts(located, prices, "postcode", "timestamp", size, slide, a.watermark,
+                               ordered=ordered, keep_unmatched=bool(a.postcodes)), a.mode
     raise SystemExit(f"unknown stream job {name}")
 
 
+def print_alarm(row) -> None:
+    """What an alarm does unless a caller passes its own function to ``alarm_rows``."""
+    print(f"ALARM {row.asDict()}", flush=True)
+
+
 def run_batch(spark: SparkSession, a: argparse.Namespace) -> None:
     options = {} if a.format != "csv" else {"header": "false"}
     sales = read_table(spark, a.input, HOUSE if a.format == "csv" else None, a.format, **options)
@@ -126,11 +138,18 @@ def run_batch(spark: SparkSession, a: argparse.Namespace) -> None:
 def run_stream(spark: SparkSession, a: argparse.Namespace):
     options = dict(kv.split("=", 1) for kv in a.option)
     raw = read_topic(spark, options, a.format)
-    if "timestamp" not in raw.columns:  # file sources carry no event time
+    if a.arrival_time:
         raw = raw.withColumn("timestamp", F.current_timestamp())
-    incidents = decode_csv(raw, INCIDENT, header=a.header)
+    elif a.time_column not in raw.columns:
+        raise SystemExit(f"the source has no event time column {a.time_column!r}; name it with "
+                         "--time-column, or stamp rows as they arrive with --arrival-time")
+    elif a.time_column != "timestamp":
+        raw = raw.withColumn("timestamp", F.col(a.time_column))
+    incidents = decode_csv(raw, INCIDENT, header=a.header or None)
     result, mode = _stream_job(a.job, incidents, a, spark)
     writers = [epoch_files(a.output)] + ([console_rows(a.rows)] if a.console else [])
+    if a.job == "alarm":
+        writers.append(alarm_rows(print_alarm))
     trigger = {"availableNow": True} if a.available_now else None
     return start_fan_out(result, writers, a.checkpoint or checkpoint_path(spark, a.job),
                          mode, trigger)
@@ -156,7 +175,14 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--option", action="append", default=[], help="source option key=value")
     s.add_argument("--output", required=True)
     s.add_argument("--checkpoint")
-    s.add_argument("--header", help="header line to drop from the messages")
+    s.add_argument("--header", default=INCIDENT_HEADER,
+                   help="header line to drop from the messages (default: the incident file's; "
+                        "empty: none)")
+    s.add_argument("--mode", choices=("append", "update", "complete"), default="append",
+                   help="append and update keep state up to the watermark only")
+    s.add_argument("--per-window", action="store_true", help="top_type: one row per window")
+    s.add_argument("--time-column", default="timestamp", help="event time column of the source")
+    s.add_argument("--arrival-time", action="store_true", help="stamp rows as they arrive")
     s.add_argument("--size")
     s.add_argument("--slide")
     s.add_argument("--watermark", default="1 second")
@@ -168,8 +194,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--postcodes", nargs="+",
                    help="CSV with header postcode,longitude,latitude: an incident takes the "
                         "nearest postcode within --radius (enriched)")
-    s.add_argument("--radius", type=float, default=0.01,
-                   help="search radius in coordinate units for --postcodes")
+    s.add_argument("--radius", type=float,
+                   help="search radius for --postcodes, in degrees of latitude")
     s.add_argument("--console", action="store_true")
     s.add_argument("--rows", type=int, default=20)
     s.add_argument("--available-now", action="store_true",

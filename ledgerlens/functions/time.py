@@ -28,16 +28,26 @@ def _bound(year: int, dtype: T.DataType) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast(dtype)
 
 
+def landed_year(column: str) -> str:
+    """Name of the partition column that a landed table has for ``column``."""
+    return f"{column}_year"
+
+
 def in_years(df: DataFrame, column: str, first: int, last: int | None = None) -> Column:
     """``first <= year(column) <= last`` written as a half-open range.
 
     ``year(d) = Y`` hides the column inside a function, so the scan only gets
-    ``IsNotNull``; the range form reaches the scan as two pushed filters.
+    ``IsNotNull``; the range form reaches the scan as two pushed filters.  On
+    a landed table the partition column is compared too, so other years'
+    folders are not read.
     """
     last = first if last is None else last
     dtype = df.schema[column].dataType
     c = F.col(column)
-    return (c >= _bound(first, dtype)) & (c < _bound(last + 1, dtype))
+    within = (c >= _bound(first, dtype)) & (c < _bound(last + 1, dtype))
+    if landed_year(column) in df.schema.names:
+        within = within & F.col(landed_year(column)).between(first, last)
+    return within
 
 
 def month_name(month: Column) -> Column:

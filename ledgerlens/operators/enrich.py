@@ -38,16 +38,19 @@ def enriched_counts(
     out: str = "crime_count",
     ordered: bool = False,
     broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    keep_unmatched: bool = False,
 ) -> DataFrame:
     """``start, end, postcode, average_price, crime_count`` per (window, postcode).
 
     ``prices`` is the output of :func:`postcode_prices` (one row per key).
     Incidents without a postcode, or whose postcode has no sales, drop out
-    (inner join).  The join runs on aggregated incidents, so a postcode
+    (inner join); with ``keep_unmatched`` they are counted in rows of a null
+    postcode, or of a null price.  The join runs on aggregated incidents, so a postcode
     holding a third of all incidents is one row per window.
 
     Batch input: AQE picks a broadcast when the price side turns out small
-    at run time and a skew-split sort-merge join otherwise.  Stream input
+    at run time and a sort-merge join otherwise (of aggregates, so without a
+    hot key).  Stream input
     (no AQE per micro-batch): materialise ``prices`` once (see
     ``streaming.jobs.materialize``); it is then broadcast when it has at
     most ``broadcast_rows`` rows and shuffle-joined otherwise.
@@ -55,11 +58,11 @@ def enriched_counts(
     if events.isStreaming and not prices.isStreaming:
         prices = bounded_broadcast(prices, broadcast_rows)
     counts = windowed_agg(
-        events.filter(F.col(key).isNotNull()), ts, size, slide,
+        events if keep_unmatched else events.filter(F.col(key).isNotNull()), ts, size, slide,
         [F.count(F.lit(1)).alias(out)], [key], watermark,
     )
     price_cols = [c for c in prices.columns if c != key]
-    res = counts.join(prices, key, "inner").select("start", "end", key, *price_cols, out)
+    res = counts.join(prices, key, "left" if keep_unmatched else "inner").select("start", "end", key, *price_cols, out)
     if ordered:
         res = res.orderBy(F.col("start").desc(), F.col("end").desc(), F.col(key).asc())
     return res

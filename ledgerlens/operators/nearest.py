@@ -15,7 +15,8 @@ each in an equi-join on their own cell: the large side is neither
 multiplied nor regrouped afterwards, and the nearest candidate is picked
 inside the row by array functions.  The candidate table is broadcast when
 its measured size is under a bound, otherwise both sides are shuffled on
-the cell (AQE splits a cell that holds many points).
+the cell.  (The candidates stand on their own aggregate there, so AQE does
+not split a cell that holds many points; it streams through one task.)
 
 Work per point is the number of reference points in its 3x3 block, so
 ``radius`` should match the reference's density (a few candidates per
@@ -28,6 +29,8 @@ points of such a cell meet every chunk and keep the best answer.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,9 +49,11 @@ def _cell(coord: Column, side: float) -> Column:
     return F.floor(coord / F.lit(side))
 
 
-def _copies(reference: DataFrame, key: str, x: str, y: str, radius: float) -> DataFrame:
+def _copies(reference: DataFrame, key: str, x: str, y: str, radius: float,
+            stretch: float = 1.0) -> DataFrame:
     """``_cx, _cy, x, y, k``: each distinct reference location (smallest key)
-    once per cell of the 3x3 block around its own."""
+    once per cell of the 3x3 block around its own.  Cells are ``stretch``
+    times as wide as high."""
     side = radius * _SIDE_MARGIN
     located = (reference
                .filter(F.col(key).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull())
@@ -57,7 +62,7 @@ def _copies(reference: DataFrame, key: str, x: str, y: str, radius: float) -> Da
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                         for dx, dy in _NEIGHBOURS])
     return located.select("x", "y", "k", F.explode(offsets).alias("o")).select(
-        (_cell(F.col("x"), side) + F.col("o.dx")).alias("_cx"),
+        (_cell(F.col("x"), side * stretch) + F.col("o.dx")).alias("_cx"),
         (_cell(F.col("y"), side) + F.col("o.dy")).alias("_cy"),
         "x", "y", "k",
     )
@@ -75,6 +80,7 @@ def candidate_cells(
     y: str,
     radius: float,
     chunk: int | None = DEFAULT_CHUNK,
+    stretch: float = 1.0,
 ) -> DataFrame:
     """``_cx, _cy, _parts, _cands``: per cell, the reference points of its
     3x3 block as ``struct(x, y, k)`` (one entry per distinct location).
@@ -86,7 +92,7 @@ def candidate_cells(
     with the points reuse that partitioning.  ``chunk=None`` skips the split
     (one row per cell) for a reference known to have no dense cell.
     """
-    copies = _copies(reference, key, x, y, radius)
+    copies = _copies(reference, key, x, y, radius, stretch)
     entry = F.collect_list(F.struct("x", "y", "k")).alias("_cands")
     if chunk is None:
         return copies.groupBy("_cx", "_cy").agg(entry).select(
@@ -113,13 +119,15 @@ def nearest_point(
     distance_out: str | None = None,
     broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     chunk: int = DEFAULT_CHUNK,
+    degrees: bool = False,
 ) -> DataFrame:
     """Every row of ``points`` plus ``out``: the ``key`` of the nearest
     ``reference`` row within ``radius`` (X2).
 
-    Distance is Euclidean in the coordinates' own units (project lon/lat
-    first, or scale longitude by the cosine of the latitude, when degrees
-    are not square).  A reference point at exactly ``radius`` counts; equal
+    Distance is Euclidean in the coordinates' own units.  With ``degrees``,
+    ``x`` is a longitude and ``y`` a latitude: differences of longitude are
+    scaled by the cosine of the point's latitude, so distances and
+    ``radius`` are degrees of latitude (no wrap at 180 degrees).  A reference point at exactly ``radius`` counts; equal
     distances go to the smallest key; no reference point within ``radius``,
     or a null coordinate, gives null.  ``distance_out`` adds the distance.
 
@@ -139,27 +147,35 @@ def nearest_point(
     out = out or key
     ref = reference.select(F.col(key), F.col(ref_x or x).alias("_rx"),
                            F.col(ref_y or y).alias("_ry"))
-    sizes = _cell_sizes(_copies(ref, key, "_rx", "_ry", radius))
+    stretch = 1.0
+    if degrees:
+        far = ref.agg(F.max(F.abs("_ry"))).first()[0] or 0.0
+        # cells wide enough for the radius at the highest latitude a match can have
+        stretch = 1.0 / math.cos(math.radians(min(89.9, far + radius)))
+    sizes = _cell_sizes(_copies(ref, key, "_rx", "_ry", radius, stretch))
     stats = sizes.agg(F.max("_n").alias("most"), F.sum("_n").alias("entries")).first()
     most, entries = stats["most"] or 0, stats["entries"] or 0
     dense = most > chunk
     if dense and points.isStreaming:
         raise ValueError(f"a cell has {most} reference points within its 3x3 block, over "
                          f"{chunk}; use a smaller radius or a larger chunk for a stream")
-    cells = candidate_cells(ref, key, "_rx", "_ry", radius, chunk if dense else None)
+    cells = candidate_cells(ref, key, "_rx", "_ry", radius, chunk if dense else None, stretch)
     # The planner's estimate misses the ninefold copy, so it would broadcast
     # a large table by its file-size threshold: decide from the measurement.
     cells = F.broadcast(cells) if entries <= broadcast_rows else cells.hint("merge")
 
     side = radius * _SIDE_MARGIN
     px, py = F.col(x), F.col(y)
-    keyed = points.withColumns({"_cx": _cell(px, side), "_cy": _cell(py, side)})
+    keyed = points.withColumns({"_cx": _cell(px, side * stretch), "_cy": _cell(py, side)})
     if dense:
         keyed = keyed.withColumn("_pid", F.monotonically_increasing_id())
     joined = keyed.join(cells, ["_cx", "_cy"], "left")
 
+    scale = F.cos(F.radians(py)) if degrees else F.lit(1.0)
+
     def scored(c: Column) -> Column:
-        d = F.sqrt((c["x"] - px) * (c["x"] - px) + (c["y"] - py) * (c["y"] - py))
+        dx, dy = (c["x"] - px) * scale, c["y"] - py
+        d = F.sqrt(dx * dx + dy * dy)
         return F.struct(d.alias("d"), c["k"].alias("k"))
 
     within = F.filter(F.transform("_cands", scored), lambda s: s["d"] <= F.lit(float(radius)))

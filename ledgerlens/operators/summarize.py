@@ -39,6 +39,9 @@ class Lookup:
 
     ``table`` has one row per ``table_key`` (a lookup), so joining never
     multiplies fact rows; fact rows without a match get nulls (left join).
+    ``hop`` is a second lookup, reached through a column of ``table``.  It is
+    joined after ``table`` (left-deep): a frame of two joined lookups looks
+    large to the planner, which would then shuffle every fact row to it.
     ``filter`` and ``withColumn`` act on the fact rows, like on a DataFrame.
     """
 
@@ -47,6 +50,7 @@ class Lookup:
     table: DataFrame
     table_key: str
     eager: bool | None = None  # None: eager only when all group keys are lookup columns
+    hop: tuple[str, DataFrame, str] | None = None  # (column of table, second lookup, its key)
 
     @property
     def schema(self):
@@ -55,6 +59,9 @@ class Lookup:
     @property
     def columns(self) -> list[str]:
         extra = [c for c in self.table.columns if c != self.table_key]
+        if self.hop:
+            through, second, key = self.hop
+            extra = [c for c in extra if c != through] + [c for c in second.columns if c != key]
         return self.fact.columns + extra
 
     def filter(self, condition: Column) -> Lookup:
@@ -65,9 +72,17 @@ class Lookup:
 
     def rows(self) -> DataFrame:
         """The joined row-level table."""
+        return self.attach(self.fact, self.key)
+
+    def attach(self, df: DataFrame, key: str) -> DataFrame:
+        """``df`` with the lookup columns of its column ``key``."""
         t = self.table.withColumnRenamed(self.table_key, "_lookup_key")
-        return (self.fact.join(t, F.col(self.key) == F.col("_lookup_key"), "left")
-                .drop("_lookup_key"))
+        df = df.join(t, F.col(key) == F.col("_lookup_key"), "left").drop("_lookup_key")
+        if self.hop:
+            through, second, second_key = self.hop
+            second = second.withColumnRenamed(second_key, "_hop_key")
+            df = df.join(second, F.col(through) == F.col("_hop_key"), "left").drop("_hop_key", through)
+        return df
 
 
 Source = DataFrame | Lookup
@@ -147,7 +162,6 @@ def summarize(src: Source, keys: Sequence[str], measures: dict[str, Measure]) ->
     if not eager:
         return summarize(src.rows(), keys, measures)
     parts = [c for n, m in measures.items() for c in m.parts(f"_{n}", fact)]
-    pre = src.fact.groupBy(F.col(src.key).alias("_lookup_key"), *fact_keys).agg(*parts)
-    table = src.table.withColumnRenamed(src.table_key, "_lookup_key")
-    joined = pre.join(table, "_lookup_key", "left")
+    pre = src.fact.groupBy(F.col(src.key).alias("_fact_key"), *fact_keys).agg(*parts)
+    joined = src.attach(pre, "_fact_key")
     return joined.groupBy(*keys).agg(*[m.merge(f"_{n}", fact).alias(n) for n, m in measures.items()])

@@ -157,7 +157,9 @@ ORDER BY median_price ASC NULLS LAST, county ASC NULLS FIRST LIMIT 20""",
         "csv_decode": """SELECT ts AS "timestamp", event_id, user_id, event_type, value, props
 FROM events""",
 
-        "combine_shuffle": "SELECT * FROM events",
+        "combine_shuffle": "SELECT * FROM customer UNION ALL BY NAME SELECT * FROM supplier",
+
+        "stream_passthrough": "SELECT event_id, user_id, event_type, value FROM events",
 
         "stream_top_type": f"""WITH w AS {top_w},
 c AS (SELECT start, "end", event_type AS crime_type, count(*) AS crime_count

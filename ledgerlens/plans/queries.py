@@ -6,6 +6,10 @@ Every query reads whole tables.  Parameters follow the table mapping in
 original seconds become hours (10h/3h, 12h/4h, 45h/15h windows, 1 hour
 watermark) and the alarm type is ``error``.
 
+The ``stream_*`` queries run the streaming operators on a batch frame (the
+same functions; a watermark has no effect there).  That a stream gives the
+same rows is tested in ``tests/test_streaming*.py``.
+
 Floating results are rounded to 4 places (``stable_round``) so that
 results do not depend on summation order; averages are ordered before
 rounding.
@@ -124,7 +128,18 @@ def q_csv_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_combine_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return combine_shuffle(spark, [f"{sf_dir.rstrip('/')}/events.parquet"], fmt="parquet", seed=7)
+    """Two tables of different columns, united by name."""
+    paths = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("customer", "supplier")]
+    return combine_shuffle(spark, paths, fmt="parquet", seed=7)
+
+
+def q_stream_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as CSV text with one header line, decoded without event time."""
+    events = table(spark, sf_dir, "events")
+    messages = encode_csv(events, EVENT_FIELDS)
+    header = ",".join(EVENT_FIELDS)
+    titled = messages.union(spark.range(1).select(F.lit(header).alias("value")))
+    return decode_csv(titled, schema=EVENT_SCHEMA, keep=(), drop=("props",), header=header)
 
 
 def q_stream_top_type(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +199,7 @@ QUERIES: dict[str, Query] = {
     "bottom_groups_by_median": q_bottom_groups_by_median,
     "csv_decode": q_csv_decode,
     "combine_shuffle": q_combine_shuffle,
+    "stream_passthrough": q_stream_passthrough,
     "stream_top_type": q_stream_top_type,
     "stream_top_type_per_window": q_stream_top_type_per_window,
     "stream_type_counts": q_stream_type_counts,

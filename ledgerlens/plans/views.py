@@ -67,18 +67,22 @@ def house_lookup(spark: SparkSession, sf_dir: str) -> Lookup:
     ``c_custkey`` is a key, so the join never multiplies rows; an order
     with an unknown customer gets null places (its own group).
     """
-    return Lookup(_sales(table(spark, sf_dir, "orders")), "postcode",
-                  places(spark, sf_dir), "c_custkey")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select(
+        "n_nationkey", F.col("n_name").alias("town"), F.col("n_name").alias("county"))
+    return Lookup(_sales(table(spark, sf_dir, "orders")), "postcode", customer, "c_custkey",
+                  hop=("c_nationkey", nation, "n_nationkey"))
 
 
 def house_view(spark: SparkSession, sf_dir: str, with_place: bool = True) -> DataFrame:
     """One row per order, in the house-sales column vocabulary (row level).
 
     Left joins keep every order.  ``with_place=False`` skips the joins when
-    no place column is needed.  No join hint: the planner broadcasts a side
-    whose file-size estimate is under ``spark.sql.autoBroadcastJoinThreshold``
-    and otherwise plans a sort-merge join, whose skewed partitions AQE
-    splits at run time.
+    no place column is needed.  Joins are left-deep, orders with customer
+    and then nation, without hints: the planner sees each side's own file
+    size, broadcasts it under ``spark.sql.autoBroadcastJoinThreshold``, and
+    otherwise plans a sort-merge join of two plain shuffles, whose skewed
+    partitions AQE can split.
     """
     sales = _sales(table(spark, sf_dir, "orders"))
     if not with_place:

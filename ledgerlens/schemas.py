@@ -65,3 +65,8 @@ POSTCODE_POINTS = struct_of(POSTCODE_POINT_COLUMNS)
 def ddl(schema: T.StructType) -> str:
     """DDL text for ``from_csv``: ``name type, ...``."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+# Fixed value: the header line of the incident file.
+INCIDENT_HEADER = (
+    "Crime ID,Month,Reported by,Falls within,Longitude,Latitude,Location,"
+    "LSOA code,LSOA name,Crime type,Last outcome category,Context")

@@ -3,12 +3,14 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.functions.time import landed_year
 from ledgerlens.operators.shuffle import random_order
 
 
@@ -35,22 +37,23 @@ def land_raw(
     df: DataFrame,
     path: str,
     date: str = "date",
-    partition: str = "year",
     max_records_per_file: int | None = None,
 ) -> None:
-    """Write a raw table as typed Parquet partitioned by ``year(date)``.
+    """Write a raw table as typed Parquet partitioned by the year of ``date``.
 
-    Later scans prune whole years from a ``year`` predicate.  Re-landing
-    overwrites only the years present in ``df`` (dynamic partition
+    The partition column is ``<date>_year`` (:func:`landed_year`); year filters
+    on ``date`` (``in_years``) add it to their predicate and so prune folders.
+    Re-landing overwrites only the years present in ``df`` (dynamic partition
     overwrite), so a retried or repeated load is idempotent.  Rows are
-    sorted by year inside each task instead of shuffled by year, so a year
-    holding a third of the rows does not become one task.
+    rebalanced by year first: the number of files follows the data's size,
+    not tasks times years, and AQE splits a year that holds many rows.
     """
-    out = df.withColumn(partition, F.year(F.col(date))).sortWithinPartitions(partition)
+    year = landed_year(date)
+    out = df.withColumn(year, F.year(F.col(date))).hint("rebalance", year)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-    writer.partitionBy(partition).parquet(path)
+    writer.partitionBy(year).parquet(path)
 
 
 def combine_shuffle(
@@ -58,24 +61,29 @@ def combine_shuffle(
     paths: Sequence[str],
     fmt: str = "csv",
     schema: T.StructType | None = None,
-    by_name: bool = False,
-    seed: int = 0,
+    seed: int | None = None,
     partitions: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """Union many files and put their rows in random order.
+    """Union tables by column name and put their rows in random order.
 
-    CSV files are read with their header.  ``by_name=True`` reads every file
-    on its own and unions by column name, a missing column becoming null
-    (for files whose headers differ); otherwise one scan reads them all.
+    Without a ``schema`` every path (a file, folder or glob of one layout)
+    gives its own columns, CSV from its header; paths with equal columns
+    share one scan, and the scans are united by name, a missing column
+    becoming null.  A declared ``schema`` reads all paths in one scan (CSV by
+    position).  ``seed=None`` draws a new order each time.
     """
     if fmt == "csv":
         options = {"header": "true", **options}
-    if by_name:
-        frames = [read_table(spark, p, schema, fmt, **options) for p in paths]
-        combined = frames[0]
-        for frame in frames[1:]:
-            combined = combined.unionByName(frame, allowMissingColumns=True)
+    if schema is not None:
+        groups = {None: list(paths)}
     else:
-        combined = read_table(spark, list(paths), schema, fmt, **options)
-    return random_order(combined, seed, partitions)
+        groups: dict[str, list[str]] = {}
+        for p in paths:
+            layout = read_table(spark, p, None, fmt, **options).schema.simpleString()
+            groups.setdefault(layout, []).append(p)
+    frames = [read_table(spark, group, schema, fmt, **options) for group in groups.values()]
+    combined = frames[0]
+    for frame in frames[1:]:
+        combined = combined.unionByName(frame, allowMissingColumns=True)
+    return random_order(combined, random.randrange(1 << 31) if seed is None else seed, partitions)

@@ -49,7 +49,7 @@ def decode_csv(
     text = F.col(value).cast(T.StringType())
     base = df.select(*[F.col(k) for k in keep], text.alias("_csv"))
     if header is not None:
-        cleaned = F.trim(F.regexp_replace(F.col("_csv"), "^﻿", ""))
+        cleaned = F.trim(F.regexp_replace(F.col("_csv"), "^\\uFEFF", ""))
         base = base.filter(~cleaned.eqNullSafe(F.lit(header.strip())))
     opts = {"mode": "PERMISSIVE", **(options or {})}
     parse_schema = schema

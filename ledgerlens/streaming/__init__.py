@@ -1,4 +1,5 @@
 from ledgerlens.streaming.jobs import (
+    alarm_rows,
     await_any,
     checkpoint_path,
     console_rows,
@@ -12,6 +13,7 @@ from ledgerlens.streaming.jobs import (
 )
 
 __all__ = [
+    "alarm_rows",
     "await_any",
     "checkpoint_path",
     "console_rows",

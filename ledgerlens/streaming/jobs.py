@@ -90,6 +90,14 @@ def console_rows(rows: int = 20) -> BatchWriter:
     return show
 
 
+def alarm_rows(on_alarm: Callable[[object], None], flag: str = "alarm") -> BatchWriter:
+    """A batch writer calling ``on_alarm(row)`` on the executors for each row whose ``flag`` is true (K5)."""
+    def fire(batch: DataFrame, epoch_id: int) -> None:
+        batch.filter(flag).foreach(on_alarm)
+
+    return fire
+
+
 def start_fan_out(
     df: DataFrame,
     writers: Sequence[BatchWriter],

@@ -60,9 +60,7 @@ def run_stream(spark, scratch, incident_text, job, *extra):
     path, _ = incident_text
     out = os.path.join(scratch, f"cli_{job}_{uuid.uuid4().hex[:6]}")
     q = cli.main(["stream", job, "--format", "text", "--option", f"path={path}",
-                  "--header", "Crime ID,Month,Reported by,Falls within,Longitude,Latitude,"
-                  "Location,LSOA code,LSOA name,Crime type,Last outcome category,Context",
-                  "--output", out, "--checkpoint", out + "_ckpt", "--available-now", *extra], spark)
+                  "--arrival-time", "--output", out, "--checkpoint", out + "_ckpt", "--available-now", *extra], spark)
     q.awaitTermination(300)
     assert q.exception() is None
     last = max(os.listdir(out), key=lambda d: int(d.split("=")[1]))
@@ -76,14 +74,14 @@ def test_stream_passthrough(spark, scratch, incident_text):
 
 
 def test_stream_type_counts(spark, scratch, incident_text):
-    df = run_stream(spark, scratch, incident_text, "type_counts")
+    df = run_stream(spark, scratch, incident_text, "type_counts", "--mode", "complete")
     # every incident lies in exactly three 12 s / 4 s windows
     assert df.agg(F.sum("crime_count")).first()[0] == 3 * incident_text[1]
 
 
 def test_stream_enriched(spark, scratch, incident_text, house_csv):
     df = run_stream(spark, scratch, incident_text, "enriched", "--static", house_csv,
-                    "--postcode-from", "lsoa_code")
+                    "--postcode-from", "lsoa_code", "--mode", "complete")
     assert df.count() > 0
     assert set(df.columns) == {"start", "end", "postcode", "average_price", "crime_count"}
 
@@ -121,15 +119,41 @@ def test_stream_enriched_by_coordinates_equals_by_key(spark, scratch, house_csv,
     reading the postcode from a column, when every spot is the nearest."""
     text, postcodes = located_incidents
     by_place = run_stream(spark, scratch, (text, None), "enriched", "--static", house_csv,
-                          "--postcodes", postcodes, "--radius", "0.1")
+                          "--postcodes", postcodes, "--radius", "0.1", "--mode", "complete")
     by_key = run_stream(spark, scratch, (text, None), "enriched", "--static", house_csv,
-                        "--postcode-from", "lsoa_code")
+                        "--postcode-from", "lsoa_code", "--mode", "complete")
     # File sources carry no event time: each run stamps arrival time, so the
     # two runs' windows differ; what they hold must not.
     def held(df):
-        return sorted((r.postcode, r.average_price, r.crime_count) for r in df.collect())
+        return sorted((r.postcode, r.average_price, r.crime_count) for r in df.collect()
+                      if r.average_price is not None)
 
     assert held(by_place) and held(by_place) == held(by_key)
+    # incidents with no priced postcode are counted, not lost: every one is in three windows
+    total = by_place.agg(F.sum("crime_count")).first()[0]
+    assert total == 3 * spark.read.parquet(f"{SF0001}/events.parquet").count()
+
+
+def test_stream_needs_an_event_time_and_a_radius(spark, scratch, incident_text, house_csv):
+    path, _ = incident_text
+    base = ["--format", "text", "--option", f"path={path}", "--output", os.path.join(scratch, "unused")]
+    for argv in (["stream", "type_counts", *base],
+                 ["stream", "top_type", *base, "--arrival-time"],
+                 ["stream", "enriched", *base, "--arrival-time", "--static", house_csv,
+                  "--postcodes", house_csv]):
+        with pytest.raises(SystemExit):
+            cli.main(argv, spark)
+
+
+@pytest.mark.parametrize("job,extra", [("type_counts", ()), ("top_type", ("--per-window",)),
+                                       ("distinct_types", ()), ("alarm", ("--alarm-type", "error"))])
+def test_append_mode_needs_no_complete_state(spark, scratch, incident_text, job, extra):
+    out = os.path.join(scratch, f"cli_append_{job}_{uuid.uuid4().hex[:6]}")
+    q = cli.main(["stream", job, "--format", "text", "--option", f"path={incident_text[0]}",
+                  "--arrival-time", "--output", out, "--checkpoint", out + "_ckpt",
+                  "--available-now", *extra], spark)
+    q.awaitTermination(300)
+    assert q.exception() is None
 
 
 def test_stream_enriched_needs_one_way_to_locate(spark, scratch, house_csv, incident_text):

@@ -191,3 +191,13 @@ def test_third_of_reference_in_one_cell_equals_brute_force(spark, broadcast_rows
     want = brute_force([tuple(r) for r in pts.collect()], [tuple(r) for r in refs.collect()], 0.2)
     assert got == want
     assert any(v[0] is not None and int(v[0]) % 3 == 0 for v in want.values())
+
+
+def test_degrees_scale_longitude(spark):
+    """At 53 degrees north 0.008 degrees east is nearer than 0.006 degrees north."""
+    refs = [("E", -1.5 + 0.008, 53.0), ("N", -1.5, 53.006), ("W", -1.5 - 0.016, 53.0)]
+    assert run(spark, [(1, -1.5, 53.0)], refs, 0.01)[1][0] == "N"
+    assert run(spark, [(1, -1.5, 53.0)], refs, 0.01, degrees=True)[1][0] == "E"
+    # a match whose longitude differs by more than the radius is found across cells
+    got = run(spark, [(1, -1.5, 53.0)], refs[2:], 0.01, degrees=True)
+    assert got[1][0] == "W" and abs(got[1][1] - 0.016 * math.cos(math.radians(53.0))) < 1e-12

@@ -73,8 +73,8 @@ def test_small_dimensions_are_broadcast(spark):
 def test_landed_year_is_pruned(spark, scratch):
     out = os.path.join(scratch, f"landed_{uuid.uuid4().hex[:8]}")
     land_raw(house_view(spark, SF0001), out)
-    plan = plan_text(spark.read.parquet(out).filter(F.col("year") == 1997))
-    assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan
+    plan = plan_text(spark.read.parquet(out).filter(F.col("date_year") == 1997))
+    assert "PartitionFilters: [isnotnull(date_year" in plan and "(year#" in plan
 
 
 def _first_above_orders(spark, name):
@@ -111,3 +111,14 @@ def test_ordered_presentations(spark):
     starts = [r.start for r in distinct_types(inc, "timestamp", "crime_type", "12 hours", "4 hours",
                                               ordered=True).collect()]
     assert starts == sorted(starts, reverse=True)
+
+
+@pytest.mark.parametrize("name", ["value_spread", "yoy_change", "busiest_month", "category_mix",
+                                  "bottom_groups_by_median"])
+def test_orders_are_not_shuffled_to_the_places(spark, name):
+    """Left-deep joins: the initial plan broadcasts customer and nation, and
+    order rows meet no exchange before their first aggregate."""
+    above = scan_ancestors(plan_text(QUERIES[name](spark, SF001)), "orders.parquet")
+    first = next(i for i, op in enumerate(above) if "Aggregate" in op)
+    assert not any("Exchange" in op for op in above[:first])
+    assert sum(op.startswith("BroadcastHashJoin") for op in above[:first]) == 2

@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF0001, SF001
-from ledgerlens.operators import random_order, row_count_at_most, type_counts
+from ledgerlens.operators import (
+    bounded_broadcast,
+    monthly_counts,
+    random_order,
+    row_count_at_most,
+    type_counts,
+)
 from ledgerlens.plans import house_view
 from ledgerlens.plans.inspect import plan_text
 from ledgerlens.plans import queries as Q
@@ -112,22 +118,40 @@ def test_land_raw_partitions_and_is_idempotent(spark, scratch):
     land_raw(sales.filter(F.year("date") == 1997), out)  # re-land one year
     landed = spark.read.parquet(out)
     assert landed.count() == sales.count()
-    one = landed.filter(F.col("year") == 1997)
-    assert "PartitionFilters: [isnotnull(year" in plan_text(one)
+    one = monthly_counts(landed, "date", 1997)
+    assert "PartitionFilters: [isnotnull(date_year" in plan_text(one)
+    one = landed.filter(F.col("date_year") == 1997)
     assert one.count() == sales.filter(F.year("date") == 1997).count()
-    years = sorted(d for d in os.listdir(out) if d.startswith("year="))
-    assert years and len(years) == landed.select("year").distinct().count()
+    years = sorted(d for d in os.listdir(out) if d.startswith("date_year="))
+    assert years and len(years) == landed.select("date_year").distinct().count()
 
 
 def test_combine_shuffle_by_name(spark, scratch):
     folder = fresh(scratch, "combine")
     a = write_text(folder, "a.csv", "id,kind\n1,x\n2,y\n3,z\n")
     b = write_text(folder, "b.csv", "kind,id,extra\nw,4,e\n")
-    df = combine_shuffle(spark, [a, b], by_name=True, seed=3)
+    df = combine_shuffle(spark, [a, b], seed=3)
     got = sorted((r.id, r.kind, r.extra) for r in df.collect())
     assert got == [("1", "x", None), ("2", "y", None), ("3", "z", None), ("4", "w", "e")]
 
 
+def test_combine_shuffle_aligns_swapped_headers(spark, scratch):
+    folder = fresh(scratch, "swapped")
+    a = write_text(folder, "a.csv", "id,kind\n1,x\n")
+    b = write_text(folder, "b.csv", "kind,id\nz,3\n")
+    c = write_text(folder, "c.csv", "id,kind\n5,v\n")
+    got = sorted((r.id, r.kind) for r in combine_shuffle(spark, [a, b, c]).collect())
+    assert got == [("1", "x"), ("3", "z"), ("5", "v")]
+
+
+def test_landing_writes_few_files(spark, scratch):
+    """Files follow the years, not tasks times years."""
+    out = fresh(scratch, "few")
+    land_raw(house_view(spark, SF0001, with_place=False).repartition(24), out)
+    files = [f for d, _, names in os.walk(out) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 2 * len([d for d in os.listdir(out) if d.startswith("date_year=")])
+
+
 def test_random_order_is_a_permutation(spark):
     df = spark.range(0, 5000)
     shuffled = random_order(df, seed=11, partitions=4)
@@ -150,6 +174,14 @@ def test_row_count_bound(spark):
     assert not row_count_at_most(spark.range(6), 5)
 
 
+def test_broadcast_is_bounded_in_rows_and_bytes(spark):
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("s"))
+    hinted = lambda d: "broadcast" in d._jdf.queryExecution().logical().toString().lower()
+    assert hinted(bounded_broadcast(df))
+    assert not hinted(bounded_broadcast(df, max_rows=99))
+    assert not hinted(bounded_broadcast(df, max_bytes=100_000))
+
+
 def test_read_topic_with_any_streaming_format(spark, scratch):
     """S2 without a broker: the same call with a file format and a path."""
     from ledgerlens.sources import read_topic
