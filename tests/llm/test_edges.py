@@ -132,3 +132,12 @@ def test_arc_and_warc_edges(spark, scratch):
     for version in (1, 2):
         (r,) = arc.arc_records("x", arc.arc_bytes("x", version, [(7, "http://h/", b"body")]))
         assert (r["arc_version"], r["url"], r["payload"]) == (version, "http://h/", b"body")
+
+
+def test_doubling_goes_on_until_nothing_repeats(spark):
+    """The longest level at which a window repeats: 13 * 2**k words, by document."""
+    w = [f"u{i}" for i in range(200)]
+    rows = [(1, " ".join(w)), (2, "x " + " ".join(w[10:110])), (3, " ".join(w[150:170])), (4, "no such words here")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_words"] for r in substring.longest_repeats(d).collect()}
+    assert got == {1: 52, 2: 52, 3: 13}
