@@ -74,7 +74,7 @@ def test_landed_year_is_pruned(spark, scratch):
     out = os.path.join(scratch, f"landed_{uuid.uuid4().hex[:8]}")
     land_raw(house_view(spark, SF0001), out)
     plan = plan_text(spark.read.parquet(out).filter(F.col("date_year") == 1997))
-    assert "PartitionFilters: [isnotnull(date_year" in plan and "(year#" in plan
+    assert "PartitionFilters: [isnotnull(date_year" in plan and "(date_year#" in plan
 
 
 def _first_above_orders(spark, name):
