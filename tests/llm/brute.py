@@ -155,3 +155,55 @@ def warc(pages, min_bytes=0):
         out[i] = (len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(),
                   "response" if f == i else "revisit", None if f == i else f)
     return out
+
+
+def quality_kept(docs, spread=3, min_group=100):
+    """{doc_id: kept}; docs: [(doc_id, text, lang, source)].  Fences from fully sorted rates."""
+    base = {i: quality_base(t) for i, t, _, _ in docs}
+    rates, groups = {}, defaultdict(list)
+    for i, t, lang, source in docs:
+        n, chars, symbols, dup, repeat, failed = base[i]
+        if not failed:
+            n_lines = sum(1 for x in t.split("\n") if words(x))
+            rates[i] = (min(1000, 1000 * symbols // chars), min(1000, 1000 * repeat // n),
+                        min(1000, 1000 * dup // n_lines), min(4095, 100 * chars // n))
+            for key in ((lang, source), (lang,), ()):
+                groups[key].append(rates[i])
+    margins = (50, 150, 200, 150)
+    out = {}
+    for i, _, lang, source in docs:
+        out[i] = i in rates
+        if i in rates:
+            rows = next((g for g in (groups[lang, source], groups[lang,]) if len(g) >= min_group), groups[()])
+            for r, (mine, margin) in enumerate(zip(rates[i], margins)):
+                at = sorted(x[r] for x in rows)
+                low, high = at[-(-len(at) // 4) - 1], at[-(-3 * len(at) // 4) - 1]
+                floor = low - spread * (high - low) - 100 if r == 3 else -1
+                exact = (1000 * base[i][2] // base[i][1], mine, mine, 100 * base[i][1] // base[i][0])[r]
+                out[i] &= floor <= exact <= high + spread * (high - low) + margin
+    return out
+
+
+def cut_overlaps(docs, items, ngram=10):
+    """[(doc_id, text)] left: documents of which over half is hit go, hit runs are cut from the others."""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    keys = set()
+    for _, text in items:
+        w = word.findall((text or "").translate(FOLD))
+        n = min(ngram, len(w))
+        keys |= {tuple(w[p:p + n]) for p in range(len(w) - n + 1)} if w else set()
+    out = []
+    for i, text in docs:
+        found = list(word.finditer((text or "").translate(FOLD)))
+        w = [m.group() for m in found]
+        hit = sorted({q for n in {len(k) for k in keys} for p in range(len(w) - n + 1) if tuple(w[p:p + n]) in keys
+                      for q in range(p, p + n)})
+        if 2 * len(hit) > len(w):
+            continue
+        kept, begin = [], 0
+        for p in hit:
+            if p - 1 not in hit:
+                kept.append(text[begin:found[p].start()])
+            begin = found[p].end()
+        out.append((i, "".join(kept) + text[begin:] if hit else text))
+    return out
