@@ -173,9 +173,6 @@ def _rare_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) -> D
     clusters = components(members.join(first, F.expr("bucket = _bucket")).select("a", F.col("rep").alias("b")))
     who = members.select(F.col("rep").alias("_rep"), F.col("component").alias("own")).distinct()
     who = materialize(clusters.join(who, F.expr("id = _rep")).select("id", F.col("component").alias("cluster"), "own"), "clusters")
-    sizes = who.groupBy("cluster", "own").agg(F.count("*").alias("n")).groupBy("cluster").agg(
-        F.max(F.struct("n", "own")).alias("top")).select("cluster", F.col("top.own").alias("largest"))
-    who = materialize(who.join(sizes, "cluster"), "clusters")
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(LOWER)
@@ -192,15 +189,18 @@ def _rare_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) -> D
     shingles = texts.join(who, F.expr("rep = id")).select("cluster", "rep", "text").mapInArrow(
         explode, "cluster long, rep long, n long, h long")
     shingles = materialize(shingles, "shingles")
-    common = materialize(shingles.groupBy("cluster", "h").agg(F.count("*").alias("df"), F.min("n").alias("m"))
+    sizes = who.groupBy("cluster", "own").agg(F.count("*").alias("n")).groupBy("cluster").agg(
+        F.max(F.struct("n", "own")).alias("top")).select("cluster", F.col("top.own").alias("largest"))
+    sizes = sizes.join(shingles.groupBy("cluster").agg(F.min("n").alias("least")), "cluster")
+    # the facts of a cluster travel by document: shingles never meet on the cluster, which may hold a third of them
+    who = materialize(who.join(materialize(sizes, "cluster-sizes"), "cluster").drop("cluster"), "clusters")
+    common = materialize(shingles.groupBy("cluster", "h").agg(F.count("*").alias("df"))
                          .withColumnsRenamed({"cluster": "_cluster", "h": "_h"}), "frequencies")
-    least = common.groupBy("_cluster").agg(F.min("m").alias("least")).withColumnRenamed("_cluster", "_c")
     ordered = shingles.join(common, F.expr("cluster = _cluster AND h = _h")).select("cluster", "rep", "n", "h", "df")
     ordered = ordered.withColumn("at", F.expr("row_number() OVER (PARTITION BY rep ORDER BY df, h) - 1"))
-    prefix = ordered.join(least, F.expr("cluster = _c")).filter(
-        f"df > 1 AND 100 * (n - at) >= {percent} * (at + greatest(least, ceil({percent} * n / 100)))")
-    prefix = materialize(prefix.join(who.select("id", "own", "largest"), F.expr("rep = id")).select(
-        "cluster", "h", "rep", "n", "at", "own", "largest"), "prefixes")
+    prefix = ordered.filter("df > 1").join(who, F.expr("rep = id")).filter(
+        f"100 * (n - at) >= {percent} * (at + greatest(least, ceil({percent} * n / 100)))")
+    prefix = materialize(prefix.select("cluster", "h", "rep", "n", "at", "own", "largest"), "prefixes")
     x = prefix.filter("own <> largest").select(*[F.col(c).alias(f"_{c}") for c in ("cluster", "h", "rep", "n", "at", "own")])
     most = "least(n - at, _n - _at)"
     pairs = prefix.join(x, F.expr(
@@ -216,12 +216,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     percent * union, and component_id is the smallest doc_id reachable.  kept:
     the row's id is its component's.
 
-    Candidates come from bands in rounds, so that no bucket is expanded into
-    all its pairs: first each class against the hubs of its buckets, then only members of a bucket that are still in different
-    components, against members 2**t .. 2**(t+1) - 1 of their bucket in round
-    t, until no bucket has such members.  Before those rounds, members are
-    ruled out that share too few shingles with all others they could meet
-    (:func:`_possible`, an exact bound).  No bucket is capped.
+    Candidates come from bands, and no bucket is expanded into all its pairs:
+    first each class meets the hubs of its buckets, then members of a bucket
+    that are still in different components meet on their rarest shingles
+    (:func:`_rare_pairs`, an exact bound).  No bucket is capped.
 
     Null or wordless texts have an empty set and stay alone; rows with a null
     id have a null component and are kept; rows that repeat an id are one
