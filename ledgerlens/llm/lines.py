@@ -39,14 +39,16 @@ def repeated_lines(docs: DataFrame, size: int = 3) -> DataFrame:
     The first occurrence of a window is the one with the smallest (doc_id,
     at); all others cover their lines.  First occurrences come from a partial
     aggregate, and only repeated keys are joined back (AQE splits a key that
-    very many documents share, as both join sides are plain shuffles).
+    very many documents share, as both join sides are plain shuffles).  The
+    repeated keys grow with the documents, so they are never broadcast: the
+    plan is the same at every size.
     """
     windows = line_windows(docs, size)
     first = materialize(
         windows.groupBy("key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n"))
         .filter("n > 1").select(F.col("key").alias("k"), F.col("first.doc_id").alias("d"), F.col("first.at").alias("p")),
         "line-windows")
-    later = windows.join(first, F.expr("key = k")).filter("NOT (doc_id = d AND at = p)")
+    later = windows.join(first.hint("merge"), F.expr("key = k")).filter("NOT (doc_id = d AND at = p)")
     return later.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines"))
 
 
@@ -59,7 +61,7 @@ def dedup_lines(docs: DataFrame, size: int = 3) -> DataFrame:
     text: no lines, the kept text is null.  Null id: nothing removed.  Exactly
     repeated rows share one first occurrence and stay alike.
     """
-    side = materialize(repeated_lines(docs, size), "covered-lines")
+    side = materialize(repeated_lines(docs, size), "covered-lines").hint("merge")
     joined, own, (_, covered) = with_side(pick(docs, "doc_id", "text"), side, "doc_id")
     doc_id, text = own
     d = joined.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), _lines(F.col(text)).alias("x"),
@@ -74,7 +76,7 @@ def dedup_lines(docs: DataFrame, size: int = 3) -> DataFrame:
 
 def replace_lines(docs: DataFrame, size: int = 3) -> DataFrame:
     """``docs`` with repeated lines cut from its text and n_chars set anew; columns and rows unchanged."""
-    side = materialize(repeated_lines(docs, size), "covered-lines")
+    side = materialize(repeated_lines(docs, size), "covered-lines").hint("merge")
     joined, own, (_, covered) = with_side(docs, side, "doc_id")
     text = own[docs.columns.index("text")]
     lines = _lines(F.col(text))
