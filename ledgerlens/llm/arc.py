@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm._tables import materialize, pick, text_or_empty
+from ledgerlens.llm._words import parts
 
 # The URL-record definitions of the two ARC versions.
 ARC_FIELDS = {
@@ -27,8 +28,10 @@ ARC_FIELDS = {
     2: b"URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
 WARC_END = "\r\n\r\n"
-#: Records in one WARC file, and pages in one ARC archive: what a task holds at once.
+#: Records in one WARC file, and pages in one ARC archive, at most: what a task holds at once.
 RECORDS = 1000
+#: Payload bytes in one WARC file, or in one ARC archive, at most (a longer payload has one of its own).
+FILE_BYTES = 256 << 20
 
 RECORD_SCHEMA = ("archive string, arc_version int, url string, ip string, arc_date string, content_type string, "
                  "http string, payload binary, error string")
@@ -62,22 +65,26 @@ def arc_bytes(name: str, version: int, rows: list[tuple[int | None, str | None,
     return b"".join(out) + b"\n"
 
 
-def to_arc(pages: DataFrame, records: int = RECORDS) -> DataFrame:
-    """(archive, content): ARC archives of up to ``records`` pages (page_id, url, html), versions 1 and 2 in turn."""
+def to_arc(pages: DataFrame, records: int = RECORDS, max_bytes: int = FILE_BYTES) -> DataFrame:
+    """(archive, content): ARC archives of pages (page_id, url, html), versions 1 and 2 in turn.
+
+    An archive has up to ``records`` pages and ``max_bytes`` of html, or one longer page.
+    """
     d = pick(pages, "page_id", "url", "html").select(
         F.col("page_id").cast("long"), "url", text_or_empty(F.col("html")).alias("html"), F.spark_partition_id().alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, records):
-                piece = batch.slice(at, records)
-                name = f"pages-{piece.column(3)[0].as_py():06d}-{n:06d}.arc"
-                rows = list(zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(),
-                                piece.column(2).cast(pa.binary()).to_pylist()))
-                n += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name]), pa.array([arc_bytes(name, 1 + n % 2, rows)], pa.binary())], ["archive", "content"])
+            rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                            batch.column(2).cast(pa.binary()).to_pylist()))
+            for part in parts([html for _, _, html in rows], max_bytes):
+                for at in range(part.start, part.stop, records):
+                    name = f"pages-{batch.column(3)[0].as_py():06d}-{n:06d}.arc"
+                    content = arc_bytes(name, 1 + n % 2, rows[at:min(at + records, part.stop)])
+                    n += 1
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name]), pa.array([content], pa.binary())], ["archive", "content"])
 
     return d.mapInArrow(run, "archive string, content binary")
 
@@ -185,9 +192,14 @@ def warc_record(r: dict) -> bytes:
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block
 
 
-def to_warc(records: DataFrame, path: str, min_bytes: int = 0, per_file: int = RECORDS) -> None:
+def to_warc(records: DataFrame, path: str, min_bytes: int = 0, per_file: int = RECORDS,
+            max_bytes: int = FILE_BYTES) -> None:
     """Write the records of :func:`read_arc`, with a column ``number`` (long), as WARC files under ``path``.
 
+    A file has up to ``per_file`` records and ``max_bytes`` of payload, or one
+    longer record: payloads over ``max_bytes / per_file`` go to files of fewer
+    records (folder ``long`` beside ``short``), written if there are any.
+
     Of records with equal payloads of at least ``min_bytes`` bytes the one with
     the smallest number is the response and the others are revisits of it;
     equality is that of SHA-1 and length.  Records without a number are
@@ -199,7 +211,9 @@ def to_warc(records: DataFrame, path: str, min_bytes: int = 0, per_file: int = R
     """
     good = records.filter("error IS NULL")
     hashed = good.select("number", "url", "arc_date", F.sha1("payload").alias("hash"), F.length("payload").alias("n"))
-    hashed = materialize(hashed.filter("number IS NOT NULL"), "payload-digests")
+    hashed = materialize(hashed, "payload-digests")
+    longest = hashed.agg(F.max("n")).first()[0] or 0
+    hashed = hashed.filter("number IS NOT NULL")
     first = hashed.filter(F.col("n") >= min_bytes).groupBy("hash", "n").agg(
         F.min(F.struct("number", "url", "arc_date")).alias("f"), F.count("*").alias("c")).filter("c > 1")
     first = materialize(first.select(F.col("hash").alias("_hash"), F.col("n").alias("_n"), "f.*"), "first-payloads")
@@ -216,9 +230,15 @@ def to_warc(records: DataFrame, path: str, min_bytes: int = 0, per_file: int = R
                 out = [warc_record(r | {"digest": _digest(r["payload"] or b"")}) for r in batch.slice(at, 200).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
-    # the text sink writes a string's bytes as they are, and the cast leaves them alone
-    (rows.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write
-     .option("lineSep", WARC_END).option("maxRecordsPerFile", per_file).text(path))
+    def write(some: DataFrame, folder: str, count: int) -> None:
+        # the text sink writes a string's bytes as they are, and the cast leaves them alone
+        (some.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write
+         .option("lineSep", WARC_END).option("maxRecordsPerFile", count).text(f"{path}/{folder}"))
+
+    long = F.coalesce(F.length("payload"), F.lit(0)) > max_bytes // per_file
+    write(rows.filter(~long), "short", per_file)
+    if longest > max_bytes // per_file:
+        write(rows.filter(long), "long", max(1, max_bytes // longest))
 
 
 # ---------------------------------------------------------------- reading WARC
@@ -248,7 +268,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     payload).  A response's digest and length are those of the payload read;
     if they differ from its headers, the read fails.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option(
+        "recursiveFileLookup", "true").load(path).select("content")
     names = ("record_type", "record_id", "refers_to_id", "url", "date", "http", "payload_digest")
     schema = pa.schema([*((c, pa.string()) for c in names), ("payload", pa.binary()), ("payload_bytes", pa.int64())])
 

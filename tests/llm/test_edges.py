@@ -134,6 +134,22 @@ def test_arc_and_warc_edges(spark, scratch):
         assert (r["arc_version"], r["url"], r["payload"]) == (version, "http://h/", b"body")
 
 
+def test_long_payloads_have_files_of_their_own(spark, scratch):
+    """Files and archives are bounded in bytes as in records; every record is read back."""
+    rows = [(i, "u", "x" * (40 + i) if i % 5 else "y" * (5_000 + i)) for i in range(1, 41)]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    archives = arc.to_arc(d, records=10, max_bytes=6_000)
+    assert max(len(list(arc.arc_records(r["archive"], bytes(r["content"])))) for r in archives.collect()) <= 10
+    assert max(len(r["content"]) for r in archives.collect()) < 6_000 + 10 * 200
+    path = f"{scratch}/warc-long"
+    arc.to_warc(arc.read_arc(archives).withColumn("number", arc.page_number()), path, per_file=10, max_bytes=11_000)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
+    held = [[len(r["block"]) for r in arc.warc_records(bytes(f["content"]))] for f in files.collect()]
+    assert max(map(len, held)) <= 10 and max(map(sum, held)) < 11_000 + 10 * 200
+    got = {r["n"]: bytes(r["payload"]).decode() for r in arc.read_warc(spark, path).withColumn("n", arc.page_number()).collect()}
+    assert got == {i: x for i, _, x in rows}
+
+
 def test_doubling_goes_on_until_nothing_repeats(spark):
     """The longest level at which a window repeats: 13 * 2**k words, by document."""
     w = [f"u{i}" for i in range(200)]
