@@ -52,56 +52,137 @@ def bigrams(words: Column) -> Column:
         lambda a, b: F.concat_ws(" ", a, b)))
 
 
-def _template_table(spark, templates: dict[str, str]) -> list[tuple[str, list[str]]]:
-    """Template ids with their bigrams, normalised by the same functions as the texts."""
+def _template_table(spark, templates: dict[str, str]) -> list[tuple[str, int, list[str], list[int]]]:
+    """Template ids with their number of words, their bigrams and the bigrams' hashes, by the same functions as the texts."""
     rows = spark.createDataFrame(sorted(templates.items()), "id string, text string")
     words = rows.select("id", F.filter(F.split(normalised(F.col("text")), " "), lambda w: w != "").alias("w"))
-    return [(r["id"], r["b"]) for r in words.select("id", bigrams(F.col("w")).alias("b")).collect() if r["b"]]
+    found = words.select("id", F.size("w").alias("n"), bigrams(F.col("w")).alias("b")).withColumn(
+        "h", F.transform("b", lambda b: F.xxhash64(b)))
+    return [(r["id"], r["n"], r["b"], r["h"]) for r in found.collect() if r["b"]]
+
+
+def _strings(values: list[str]) -> Column:
+    """A constant array of bigrams, which the optimizer folds."""
+    return F.split(F.lit("|".join(values)), r"\|")
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_units, n_matched, license, dice, unit.
-
-    Units are the whole text (unit -1) and its ``\\n``-split lines (from 0),
-    because a notice is often one line of a document; n_units counts those
-    with a bigram.  A unit of a bigrams and a template of b share at most
-    min(a, b), so their Dice coefficient 2 * shared / (a + b) can reach
-    ``percent`` only if ``percent * (a + b) <= 200 * min(a, b)``: templates
-    outside that size bound are never compared.  A unit matches its best
-    template that reaches ``percent``; n_matched counts matching units, and
-    license, dice and unit give the best one (ties: the smaller template id,
-    then the earlier unit).  Without a match they are null.
-
-    ``templates`` is a parameter held in the plan, so meant for the usual some
-    hundred wordings.  Null and empty texts have no units.  Rows are kept as
-    they are, null ids and repeated rows too.
+    """One row per row of ``docs``: doc_id, n_units, n_matched, license, dice, unit, passage_start, passage_words.
+
+    Units are the whole text (unit -1) and its ``\\n``-split lines (from 0);
+    n_units counts those with a bigram.  Besides, every passage is compared
+    that has the size of a template, wherever it begins and whatever surrounds
+    it: all runs of consecutive words, over line ends too, that have at most
+    ``(200 - percent) / percent`` times the template's word bigrams (repeated
+    ones counted).  A passage is a unit (-2) if it is the template's best one
+    in the text and better than the whole text and every line; then
+    passage_start and passage_words give it in words of the normalised text.
+    A unit matches its best template with a Dice coefficient
+    ``2 * shared / (a + b)`` over distinct bigrams of ``percent`` or more;
+    n_matched counts matching units, and license, dice and unit give the best
+    one (ties: the smaller template id, then the earlier unit, then the
+    earlier passage).  Without a match they are null.
+
+    No candidate is lost on the way: a match shares ``percent / (200 -
+    percent)`` of the template's bigrams at least, so texts that hold fewer
+    (by hash) are left out; and a passage that begins or ends with a foreign
+    bigram, or stops short of the next bigram of the template, is never better
+    than the one cut or extended there, so passages go from the first to the
+    last bigram of a maximal stretch of template bigrams.
+
+    ``templates`` is a parameter held in the plan, so
+    meant for the usual some hundred wordings.  Null and empty texts have no
+    units.  Rows are kept as they are, null ids and repeated rows too.
     """
     known = _template_table(docs.sparkSession, templates)
-    d = pick(docs, "doc_id", "text").select("doc_id", F.split(normalised_lines(F.col("text")), "\n").alias("x"))
-    words = lambda line: F.filter(F.split(line, " "), lambda w: w != "")
-    d = d.select("doc_id", F.concat(
-        F.array(F.struct(F.lit(-1).alias("unit"), bigrams(words(F.array_join("x", " "))).alias("b"))),
-        F.transform("x", lambda line, i: F.struct(i.alias("unit"), bigrams(words(line)).alias("b")))).alias("u"))
-    d = d.select("doc_id", F.filter("u", lambda u: F.size(u["b"]) > 0).alias("u"))
-
-    def best(u: Column) -> Column:
-        """The unit's best match as (rank, id, unit, dice): smaller is better."""
-        options = []
-        for name, grams in known:
-            n = F.size(u["b"])
-            sizes = (percent * (n + len(grams)) <= 200 * F.least(n, F.lit(len(grams))))
-            shared = F.size(F.array_intersect(u["b"], F.array(*[F.lit(g) for g in grams])))
-            fits = sizes & (200 * shared >= percent * (n + len(grams)))
-            dice = F.round(2.0 * shared / (n + len(grams)), 6)
-            options.append(F.when(fits, F.struct(
-                (-dice).alias("rank"), F.lit(name).alias("id"), u["unit"].alias("unit"))))
-        return F.array_min(F.array(*options)) if options else F.lit(None).cast("struct<rank:double,id:string,unit:int>")
-
-    d = d.select("doc_id", F.size("u").cast("long").alias("n_units"),
-                 F.filter(F.transform("u", best), lambda m: m.isNotNull()).alias("m"))
-    top = F.array_min("m")
-    return d.select("doc_id", "n_units", F.size("m").cast("long").alias("n_matched"), top["id"].alias("license"),
-                    (-top["rank"]).alias("dice"), top["unit"].alias("unit"))
+    if not known:
+        known = [("", 0, ["\n"], [0])]  # matches no text
+    least = [-(-percent * len(b) // (200 - percent)) for _, _, b, _ in known]
+    words = lambda x: F.filter(F.split(x, "[ \n]+"), lambda w: w != "")
+    d = pick(docs, "doc_id", "text").select("doc_id", normalised_lines(F.col("text")).alias("x"))
+    d = d.select("doc_id", "x", words(F.col("x")).alias("w"))
+    pairs = lambda w, f: F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))),
+                                    F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), f)
+    joined = lambda a, b: F.concat_ws(" ", a, b)
+    all_hashes = sorted({x for *_, h in known for x in h})
+    constant = lambda h: F.split(F.lit(",".join(map(str, h))), ",").cast("array<bigint>")
+    hits = F.array_intersect(pairs(F.col("w"), lambda a, b: F.xxhash64(joined(a, b))), constant(all_hashes))
+    d = d.select("doc_id", "x", "w", hits.alias("hits"))
+    # numbers of the templates of which the text has enough bigrams
+    enough = [F.when((F.size("hits") >= k) & (F.size(F.array_intersect("hits", constant(h))) >= k), F.lit(i))
+              for i, (k, (*_, h)) in enumerate(zip(least, known))]
+    d = d.select("doc_id", "x", "w", F.array_compact(F.array(*enough)).alias("c"))
+    some = F.size("c") > 0
+    line_units = F.transform(F.split("x", "\n"), lambda line, i: F.struct(i.alias("unit"), bigrams(words(line)).alias("b")))
+    units = F.concat(F.array(F.struct(F.lit(-1).alias("unit"), bigrams(F.col("w")).alias("b"))), line_units)
+    # a line has a bigram if words stand at both sides of a space
+    n_units = (F.size(F.filter(F.split("x", "\n"), lambda line: line.rlike("[^ ] +[^ ]"))) + (F.size("w") > 1).cast("int"))
+    chosen = F.transform("c", lambda i: F.struct(
+        F.get(F.array(*[F.lit(t[0]) for t in known]), i).alias("id"),
+        F.get(F.array(*[F.lit(k) for k in least]), i).alias("least"),
+        F.get(F.array(*[F.lit((t[1] - 1) * (200 - percent) // percent) for t in known]), i).alias("longest"),
+        F.get(F.array(*[_strings(t[2]) for t in known]), i).alias("b")))
+    d = d.select("doc_id", n_units.cast("long").alias("n_units"),
+                 F.when(some, F.filter(units, lambda u: F.size(u["b"]) > 0)).alias("u"),
+                 F.when(some, pairs(F.col("w"), joined)).alias("g"), F.when(some, chosen).alias("t"))
+
+    def match(t: Column, b: Column, shared: Column, unit: Column, start: Column, n_words: Column) -> Column:
+        """(rank, id, unit, start, words) of a comparison that reaches ``percent``, else null: smaller is better."""
+        n = F.size(b) + F.size(t["b"])
+        return F.when(200 * shared >= percent * n, F.struct(
+            (-F.round(2.0 * shared / n, 6)).alias("rank"), t["id"].alias("id"), unit.alias("unit"),
+            start.alias("start"), n_words.alias("words")))
+
+    none = F.lit(None).cast("int")
+
+    def compare(u: Column, t: Column) -> Column:
+        n, k = F.size(u["b"]), F.size(t["b"])
+        return F.when(percent * (n + k) <= 200 * F.least(n, k), match(
+            t, u["b"], F.size(F.array_intersect(u["b"], t["b"])), u["unit"], none, none))
+
+    # positions of the template's bigrams, and where stretches of them begin and end
+    places = F.transform("t", lambda t: F.struct(t.alias("t"), F.filter(
+        F.transform("g", lambda x, i: F.when(F.array_contains(t["b"], x), i)), lambda p: p.isNotNull()).alias("p")))
+    marked = F.transform("s", lambda s: s.withField("from", F.filter(
+        F.transform(s["p"], lambda p, i: F.when((i == 0) | (F.get(s["p"], i - 1) < p - 1), i)), lambda i: i.isNotNull())
+    ).withField("to", F.filter(
+        F.transform(s["p"], lambda p, i: F.when(F.coalesce(F.get(s["p"], i + 1) > p + 1, F.lit(True)), i)), lambda i: i.isNotNull())))
+
+    def passages(s: Column) -> Column:
+        """The template's best passage, from the (first, last) bigrams of all that may be it."""
+        t, p = s["t"], s["p"]
+        span = lambda a, z: F.struct(a.cast("int").alias("a"), z.cast("int").alias("z"))
+        fits = lambda a, z: (z - a + 1 >= t["least"]) & (F.get(p, z) - F.get(p, a) + 1 <= t["longest"])
+        # stretches are two positions apart at least, so no more of them fit the longest passage
+        edges = F.flatten(F.transform(s["from"], lambda a, k: F.transform(F.filter(
+            F.slice(s["to"], k + 1, F.floor(t["longest"] / 2).cast("int") + 1), lambda z: fits(a, z)), lambda z: span(a, z))))
+        # passages of the greatest length that it stops inside a stretch
+        longest = F.transform(p, lambda x, a: F.when(F.element_at(p, -1) >= x + t["longest"] - 1, span(
+            a, F.array_position(p, x + t["longest"] - 1) - 1)))
+        stopped = F.filter(longest, lambda c: (c["z"] > c["a"]) & fits(c["a"], c["z"]) & (
+            F.coalesce(F.get(p, c["a"] - 1) == F.get(p, c["a"]) - 1, F.lit(False))
+            | F.coalesce(F.get(p, c["z"] + 1) == F.get(p, c["z"]) + 1, F.lit(False))))
+
+        def one(c: Column) -> Column:
+            first, size = F.get(p, c["a"]), F.get(p, c["z"]) - F.get(p, c["a"]) + 1
+            held = F.array(F.array_distinct(F.slice("g", first + 1, size)))
+            return F.get(F.transform(held, lambda b: match(
+                t, b, F.size(F.array_intersect(b, t["b"])), F.lit(-2), first, size + 1)), F.lit(0))
+
+        return F.array_min(F.transform(F.concat(edges, stopped), one))
+
+    d = d.select("doc_id", "n_units", "g", F.transform(
+        "u", lambda u: F.array_compact(F.transform("t", lambda t: compare(u, t)))).alias("m"), places.alias("s"))
+    d = d.select("doc_id", "n_units", "g", "m", marked.alias("s"))
+    d = d.select("doc_id", "n_units", "m", F.array_compact(F.transform("s", passages)).alias("q"))
+    better = F.filter("q", lambda q: ~F.exists(F.flatten("m"), lambda m: (m["id"] == q["id"]) & (m["rank"] <= q["rank"])))
+    d = d.select("doc_id", "n_units", F.concat(F.filter(F.transform("m", lambda m: F.array_min(m)), lambda m: m.isNotNull()),
+                                               better).alias("m"))
+    d = d.select("doc_id", "n_units", F.coalesce(F.size("m"), F.lit(0)).alias("n"), F.array_min("m").alias("top"))
+    top = F.col("top")
+    return d.select("doc_id", "n_units", F.greatest("n", F.lit(0)).cast("long").alias("n_matched"), top["id"].alias("license"),
+                    (-top["rank"]).alias("dice"), top["unit"].alias("unit"),
+                    top["start"].alias("passage_start"), top["words"].alias("passage_words"))
 
 
 def normalised_lines(text: Column) -> Column:

@@ -1,0 +1,98 @@
+"""Licence passages inside longer texts and lines, and the scan against a version that compares every passage."""
+
+import random
+import re
+import textwrap
+
+from support import result, rows  # noqa: F401
+
+from ledgerlens.llm import licenses
+
+
+def grams(words):
+    return {tuple(words[i:i + 2]) for i in range(len(words) - 1)}
+
+
+def plain(text):
+    return re.sub("[^a-z0-9\n]+", " ", (text or "").lower()).replace("licence", "license")
+
+
+def brute_scan(text, templates, percent=80):
+    """n_units, n_matched, license, dice, unit."""
+    lines = plain(text).split("\n")
+    words = [w for x in lines for w in x.split()]
+    known = {i: plain(t).split() for i, t in templates.items()}
+    units = [(u, grams(w)) for u, w in [(-1, words), *((i, x.split()) for i, x in enumerate(lines))] if len(w) > 1]
+    matches = {u: [] for u, _ in units}
+    passages = []
+    for name, t in known.items():
+        b = grams(t)
+        for u, g in units:
+            if 200 * len(g & b) >= percent * (len(g) + len(b)):
+                matches[u].append((-round(2.0 * len(g & b) / (len(g) + len(b)), 6), name, u, None, None))
+        best = None
+        if len(grams(words) & b) * (200 - percent) < percent * len(b):
+            continue  # no passage can share enough
+        for start in range(len(words)):
+            for n in range(2, min((len(t) - 1) * (200 - percent) // percent + 1, len(words) - start) + 1):
+                g = grams(words[start:start + n])
+                shared = len(g & b)
+                if 200 * shared >= percent * (len(g) + len(b)):
+                    rank = -round(2.0 * shared / (len(g) + len(b)), 6)
+                    best = min(best or (0,), (rank, name, -2, start, n))
+        if best and not any(m[1] == name and m[0] <= best[0] for ms in matches.values() for m in ms):
+            passages.append(best)
+    found = [min(m) for m in matches.values() if m] + passages
+    top = min((m[:3] for m in found), default=None)
+    return (len(units), len(found), *((top[1], -top[0], top[2]) if top else (None,) * 3))
+
+
+COLUMNS = ("n_units", "n_matched", "license", "dice", "unit", "passage_start", "passage_words")
+
+
+def scan(spark, texts, *more):
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"]: tuple(r[c] for c in COLUMNS) for r in licenses.scan_licenses(d, *more).collect()}
+
+
+def test_wrapped_licence_in_a_longer_text(spark):
+    """The MIT text in lines of 78 columns, with any number of other words around it."""
+    mit = textwrap.fill(licenses.TEMPLATES["MIT"], 78)
+    other = [" ".join(f"x{i}" for i in range(n)) for n in (70, 80, 300, 20_000)]
+    got = scan(spark, [f"{x}\n{mit}\n{x}" for x in other] + [f"{mit}\n{x}" for x in other])
+    assert [r[2:5] for r in got.values()] == [("MIT", 1.0, -2)] * 8
+    assert [r[5] for r in got.values()] == [70, 80, 300, 20_000, 0, 0, 0, 0]
+
+
+def test_notice_inside_a_line(spark):
+    line = "Copyright 2020 by nobody in particular. Released under the MIT License. Please read the other files too."
+    assert scan(spark, [line])[0][2:] == ("MIT-notice", 1.0, -2, 6, 5)
+
+
+def test_every_passage_is_compared(spark):
+    """Random words of the templates' own vocabulary, three bounds."""
+    templates = {"short": "a b c d e", "loop": "a b a b c d a c e f", "long": "f e d c b a a b c d e f f a", "mit": "Released under the MIT Licence.",
+                 "same": "a a a b b b a b a a b"}
+    pick = random.Random(7)
+    texts = [None, "", "a", "released under the mit license"]
+    for n in range(300):
+        w = [pick.choice("abcdef" + "xy" * (n % 2)) for _ in range(n % 40)]
+        at = pick.randrange(len(w) + 1)
+        w[at:at] = pick.choice(list(templates.values())).split()[: pick.randrange(3, 14)]
+        texts.append("".join(x + pick.choice("    \n") for x in w))
+    for percent in (60, 80, 95):
+        got = scan(spark, texts, templates, percent)
+        assert {i: r[:5] for i, r in got.items()} == {i: brute_scan(t, templates, percent) for i, t in enumerate(texts)}
+        found = [(texts[i], *r[2:]) for i, r in got.items() if r[4] == -2]
+        assert len(found) > 10
+        for text, name, dice, _, start, n in found:  # the passage told is one of that Dice coefficient
+            a, b = grams(plain(text).split()[start:start + n]), grams(plain(templates[name]).split())
+            assert round(2.0 * len(a & b) / (len(a) + len(b)), 6) == dice
+
+
+def test_op3(rows, result):
+    """The query on the whole table."""
+    got = {r["doc_id"]: tuple(r[c] for c in COLUMNS[:5]) for r in result("op3_license_scan")}
+    docs = dict(rows("documents", "doc_id", "text"))
+    assert set(got) == set(docs)
+    assert got == {i: brute_scan(t, licenses.TEMPLATES) for i, t in docs.items()}
