@@ -21,7 +21,7 @@ SYMBOL = r"[#*$%&|<>]"
 
 @dataclass(frozen=True)
 class Rate:
-    """A sketched rate: ``scale * part / whole`` as an integer, in bins 0..bins-1 (the last is open).
+    """A sketched rate: ``scale * part / whole`` as an integer of any size (:func:`rate_bin`).
 
     A document fails above ``q75 + spread * (q75 - q25) + margin`` and, if
     ``low`` is given, below ``q25 - spread * (q75 - q25) - low``.
@@ -31,17 +31,18 @@ class Rate:
     part: str
     whole: str
     scale: int
-    bins: int
     margin: int
     low: int | None = None
 
 
 RATES = (
-    Rate("symbols", "n_symbols", "word_chars", 1000, 1001, 50),
-    Rate("repeats", "n_repeat_words", "n_words", 1000, 1001, 150),
-    Rate("dup_lines", "n_dup_lines", "n_lines", 1000, 1001, 200),
-    Rate("word_length", "word_chars", "n_words", 100, 4096, 150, 100),
+    Rate("symbols", "n_symbols", "word_chars", 1000, 50),
+    Rate("repeats", "n_repeat_words", "n_words", 1000, 150),
+    Rate("dup_lines", "n_dup_lines", "n_lines", 1000, 200),
+    Rate("word_length", "word_chars", "n_words", 100, 150, 100),
 )
+#: Rates below 2**BITS have a bin each; of greater ones the leading BITS bits tell the bin.
+BITS = 12
 #: Interquartile ranges between a quartile and its fence.
 SPREAD = 3
 #: Groups with fewer sketched documents use their language's merged sketch, then that of all.
@@ -105,21 +106,42 @@ def rate(r: Rate) -> Column:
     return F.expr(f"CASE WHEN {r.whole} > 0 THEN {r.scale} * {r.part} DIV {r.whole} END")
 
 
+def _cut_bits(value: Column) -> Column:
+    """How many last bits of a rate its bin leaves out."""
+    return F.when(value < 2**BITS, 0).otherwise(F.length(F.bin(value)) - BITS).cast("int")
+
+
+def rate_bin(value: Column) -> Column:
+    """The least rate of the bin that holds ``value``: the rate itself below 2**BITS, without an upper end."""
+    cut = _cut_bits(value)
+    return F.call_function("shiftleft", F.call_function("shiftright", value, cut), cut)
+
+
+def bin_end(least: Column) -> Column:
+    """The greatest rate of the bin that begins at ``least``."""
+    return least + F.call_function("shiftleft", F.lit(1).cast("long"), _cut_bits(least)) - 1
+
+
 def sketches(measured: DataFrame, rates: tuple[Rate, ...] = RATES) -> DataFrame:
     """(lang, source, rate, bin, n): histogram sketches of the documents that pass the base rules.
 
     A sketch has a fixed grid of bins, so merging is adding counts: exact,
     order-free and the same however the rows were partitioned.  Its quantiles
-    are off by less than one bin (1/1000, or 1/100 of a character).
+    are exact below 2**BITS (all shares; words of 40.96 code points) and off
+    by less than one part in 2**(BITS - 1) beyond; no bin is open.
     """
     ones = F.explode(F.array(*[
-        F.struct(F.lit(r.name).alias("rate"), F.least(rate(r), F.lit(r.bins - 1)).alias("bin")) for r in rates]))
+        F.struct(F.lit(r.name).alias("rate"), rate_bin(rate(r)).alias("bin")) for r in rates]))
     return (measured.filter("NOT base_failed").select("lang", "source", ones.alias("s"))
             .groupBy("lang", "source", "s.rate", "s.bin").agg(F.count("*").alias("n")))
 
 
 def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, rate, n, q25, q75: the first bins at which a quarter and three quarters are reached."""
+    """keys, rate, n, q25, q75: the first bins at which a quarter and three quarters are reached.
+
+    q25 is the least rate of its bin and q75 the greatest, so that the rows
+    of a wide bin are never outside the fences that it makes itself.
+    """
     group = [*keys, "rate"]
     merged = sketch.groupBy(*group, "bin").agg(F.sum("n").alias("n"))
     below = Window.partitionBy(*group).orderBy("bin")
@@ -128,7 +150,7 @@ def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
     return at.groupBy(*group).agg(
         F.max("total").alias("n"),
         F.min(F.when(F.expr("4 * c >= total"), F.col("bin"))).alias("q25"),
-        F.min(F.when(F.expr("4 * c >= 3 * total"), F.col("bin"))).alias("q75"))
+        bin_end(F.min(F.when(F.expr("4 * c >= 3 * total"), F.col("bin")))).alias("q75"))
 
 
 def fences(sketch: DataFrame, rates: tuple[Rate, ...] = RATES, spread: int = SPREAD,

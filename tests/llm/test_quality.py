@@ -1,0 +1,50 @@
+"""Fences of groups whose words are far longer than 40 code points (unspaced scripts)."""
+
+from collections import defaultdict
+
+import brute
+
+from ledgerlens.llm import quality
+
+
+def text(i, words, length):
+    """Distinct words of about ``length`` code points, without spaces inside."""
+    return " ".join(chr(0x4E00 + (i * 61 + k) % 9000) * (length + (i + k) % 3) + f"{k}" for k in range(words))
+
+
+def word_length_kept(docs):
+    """{doc_id: kept} by the word-length fence alone, from fully sorted exact rates without any cap."""
+    rates, groups = {}, defaultdict(list)
+    for i, t, lang, source in docs:
+        n, chars, *_ = brute.quality_base(t)
+        rates[i] = 100 * chars // n
+        groups[lang, source].append(rates[i])
+    out = {}
+    for i, _, lang, source in docs:
+        at = sorted(groups[lang, source])
+        low, high = at[-(-len(at) // 4) - 1], at[-(-3 * len(at) // 4) - 1]
+        out[i] = low - 3 * (high - low) - 100 <= rates[i] <= high + 3 * (high - low) + 150
+    return out
+
+
+def test_groups_of_unspaced_text(spark):
+    docs = []
+    for source, length in (("news", 43), ("books", 90), ("scrolls", 12_345)):
+        for i in range(120):
+            words, by = (50 + i % 7, length + i % 11) if source != "scrolls" else (50, length)
+            docs.append((len(docs), text(i, words, by), "zh", source))
+        docs.append((len(docs), text(1, 60, 3 * length), "zh", source))
+        docs.append((len(docs), text(1, 60, max(1, length // 40)), "zh", source))
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(d).collect()}
+    assert got == word_length_kept(docs)
+    assert sorted(i for i, kept in got.items() if not kept) == [120, 121, 242, 243, 364, 365]
+
+
+def test_bins_have_no_end(spark):
+    """A bin holds the rates from its least to its end, exact below 2**BITS, narrow beyond."""
+    values = [*range(0, 9000, 7), 4095, 4096, 4097, 8191, 8192, 10**6, 10**9 + 7, 2**62]
+    d = spark.createDataFrame([(v,) for v in values], "v long")
+    b = quality.rate_bin(d["v"])
+    for v, least, end in d.select("v", b.alias("b"), quality.bin_end(b).alias("e")).collect():
+        assert least <= v <= end and (end == v if v < 4096 else (end - least + 1) * 2048 <= least)
