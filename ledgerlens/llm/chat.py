@@ -7,7 +7,7 @@ history, with a loss mask on the assistant turns that no window had before.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm._tables import pick, text_or_empty
@@ -20,7 +20,7 @@ BUDGET = 512
 HISTORY_TURNS, HISTORY_TOKENS = 2, 128
 #: Tokens the marks and role of a turn count for.
 TURN_TOKENS = 4
-#: A conversation is handled in stretches of so many turn numbers: the most one row gathers.
+#: A conversation is handled in stretches of so many turns: what one row gathers, besides the neighbours' edges.
 STRETCH = 256
 
 _TURN = "struct<turn:bigint,role:string,text:string>"
@@ -53,7 +53,7 @@ def format_turn(turn: Column) -> Column:
 
 
 def chat_windows(conversations: DataFrame, budget: int = BUDGET, history_turns: int = HISTORY_TURNS,
-                 history_tokens: int = HISTORY_TOKENS) -> DataFrame:
+                 history_tokens: int = HISTORY_TOKENS, stretch: int = STRETCH) -> DataFrame:
     """Windows of ``conversations`` (conv_id, turn, role, text; a row per turn).
 
     Returns conv_id, stretch, window (from 0 in the stretch), text, n_repeated
@@ -67,9 +67,16 @@ def chat_windows(conversations: DataFrame, budget: int = BUDGET, history_turns:
     every later window.  History is the longest run of up to ``history_turns``
     turns before the window with at most ``history_tokens`` tokens; it gives
     way if it leaves no room for the window's first new turn.  A single turn
-    over the budget is a window of its own, never cut.  Every STRETCH turn
-    numbers a new stretch begins (with the system turn, without history), so
-    a conversation of any length is dealt over many rows.
+    over the budget is a window of its own, never cut.
+
+    A conversation is dealt over rows of ``stretch`` turns, counted densely
+    whatever the turn numbers, which do not alter its windows: a stretch has
+    the last turns of the one before as history and the first of the next, as
+    many as a window can reach, and tells for every turn at which a window may
+    enter it where the first window after it begins.  Following these tables
+    from the first stretch on gives each its first window.  ``stretch`` in the
+    result is the one in which the window begins.  A row holds the tables of
+    its conversation's earlier stretches, ``budget / TURN_TOKENS`` numbers each.
 
     Null text and role are empty.  Null conv_ids are one conversation, null
     turns come first.  Repeated rows are turns like any other.  An empty table
@@ -78,15 +85,25 @@ def chat_windows(conversations: DataFrame, budget: int = BUDGET, history_turns:
     rows = pick(conversations, "conv_id", "turn", "role", "text").select(
         "conv_id", F.col("turn").cast("long").alias("turn"), text_or_empty(F.col("role")).alias("role"),
         text_or_empty(F.col("text")).alias("text"))
+    reach = budget // TURN_TOKENS + 1  # turns that a window may have, and one
+    stretch = max(stretch, reach, history_turns)
     turn = F.struct("turn", "role", "text")
-    system = rows.filter("role = 'system'").groupBy(F.col("conv_id").alias("_conv")).agg(F.min(turn).alias("system"))
-    d = rows.groupBy("conv_id", F.expr(f"floor(turn / {STRETCH})").alias("stretch")).agg(
-        F.sort_array(F.collect_list(turn)).alias("t"))
-    d = d.join(system, F.expr("conv_id <=> _conv"), "left").drop("_conv")
+    so_far = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = rows.select(
+        "*", (F.row_number().over(so_far) - 1).cast("long").alias("i"),
+        F.first(F.when(F.col("role") == "system", turn), ignorenulls=True).over(so_far).alias("system"))
+    shares = F.sequence(F.expr(f"greatest(0L, (i - {reach}) DIV {stretch})"), F.expr(f"(i + {history_turns}) DIV {stretch}"))
+    d = d.select("conv_id", F.explode_outer(shares).alias("stretch"), F.struct("i", "turn", "role", "text").alias("x"), "system")
+    d = d.groupBy("conv_id", "stretch").agg(F.sort_array(F.collect_list("x")).alias("t"), F.min("system").alias("system"))
+    first = F.element_at("t", 1)["i"]
+    d = d.select("conv_id", "stretch", "system", F.transform("t", lambda x: x.dropFields("i")).alias("t"),
+                 (F.col("stretch") * stretch - first).cast("int").alias("own"),
+                 F.least(F.size("t"), ((F.col("stretch") + 1) * stretch - first).cast("int")).alias("own_end"))
+    d = d.filter("own < own_end")  # turns of its own, not only history
 
     # p[i]: tokens of the first i turns
     p = F.aggregate("t", F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + turn_tokens(x["text"]))))
-    d = d.select("conv_id", "stretch", "t", "system", p.alias("p"),
+    d = d.select("conv_id", "stretch", "t", "system", "own", "own_end", p.alias("p"),
                  F.coalesce(turn_tokens(F.col("system.text")), F.lit(0)).alias("lead"))
 
     def lead(j: Column) -> Column:
@@ -107,16 +124,36 @@ def chat_windows(conversations: DataFrame, budget: int = BUDGET, history_turns:
     back = F.transform("t", lambda x, j: F.struct(history(j).alias("turns"), lead(j).alias("lead")))
     d = d.select("*", back.alias("h"))
 
-    def step(starts: Column, j: Column) -> Column:
-        s = F.element_at(starts, -1)
-        base = F.get("p", s - F.get("h", s)["turns"])
-        used = F.get("h", s)["lead"] + F.get("p", j + 1) - base
-        return F.when(used > budget, F.concat(starts, F.array(j))).otherwise(starts)
-
-    later = F.when(F.size("t") > 1, F.sequence(F.lit(1), F.size("t") - 1)).otherwise(F.array().cast("array<int>"))
-    d = d.select("*", F.aggregate(later, F.array(F.lit(0)), step).alias("starts"))
+    def following(j: Column) -> Column:
+        """Where the window that starts at turn j ends: every further turn takes tokens, so those that fit are counted."""
+        room = budget - F.get("h", j)["lead"] + F.get("p", j - F.get("h", j)["turns"])
+        return F.when((j >= F.col("own")) & (j < F.col("own_end")),
+                      j + 1 + F.size(F.filter(F.slice("p", j + 3, reach), lambda x: x <= room)))
+
+    d = d.select("*", F.transform("t", lambda x, j: following(j)).alias("next"))
+    steps = F.sequence(F.lit(1), F.col("own_end") - F.col("own"))
+
+    def leave(j: Column) -> Column:
+        """The first start behind the stretch of the windows from j on."""
+        return F.aggregate(steps, j, lambda at, _: F.when(at < F.col("own_end"), F.get("next", at)).otherwise(at))
+
+    entries = F.sequence(F.lit(0), F.when(F.col("stretch") > 0, F.lit(reach - 1)).otherwise(F.lit(0)))
+    table = F.when(F.size("t") > F.col("own_end"), F.transform(
+        entries, lambda e: leave(e + F.col("own")) - F.col("own_end"))).otherwise(F.array().cast("array<int>"))
+    d = d.withColumn("table", table)
+    before = Window.partitionBy("conv_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("tables", F.collect_list("table").over(before))
+    entry = F.aggregate("tables", F.lit(0), lambda e, x: F.get(x, e))
+    d = d.withColumn("enter", F.col("own") + entry)
+
+    def step(starts: Column, _: Column) -> Column:
+        then = F.get("next", F.element_at(starts, -1))
+        return F.when(then < F.col("own_end"), F.concat(starts, F.array(then))).otherwise(starts)
+
+    d = d.withColumn("starts", F.aggregate(steps, F.array("enter"), step)).drop("table", "tables")
     d = d.select("*", F.posexplode_outer("starts").alias("window", "s"))
-    d = d.withColumn("e", F.coalesce(F.get("starts", F.col("window") + 1), F.size("t")))
+    d = d.filter("s < own_end")  # not so if a window of an earlier stretch has all its turns
+    d = d.withColumn("e", F.get("next", F.col("s")))
     d = d.withColumn("back", F.get("h", F.col("s"))["turns"]).withColumn("lead", F.get("h", F.col("s"))["lead"])
     opening = F.when(F.col("lead") > 0, F.array("system")).otherwise(F.array().cast(f"array<{_TURN}>"))
     d = d.select(
