@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import cache
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +38,16 @@ TEMPLATES = {
         "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
         "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
 }
+
+
+@cache
+def known_templates() -> dict[str, str]:
+    """TEMPLATES and the licence texts and standard file headers in ``wordings`` (<id>.txt)."""
+    folder = resources.files("ledgerlens.llm") / "wordings"
+    files = {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in folder.iterdir() if f.name.endswith(".txt")}
+    return TEMPLATES | files
+
+
 #: Least Dice coefficient of a match, in hundredths.
 PERCENT = 80
 
@@ -66,7 +79,7 @@ def _strings(values: list[str]) -> Column:
     return F.split(F.lit("|".join(values)), r"\|")
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_units, n_matched, license, dice, unit, passage_start, passage_words.
 
     Units are the whole text (unit -1) and its ``\\n``-split lines (from 0);
@@ -90,11 +103,11 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percen
     than the one cut or extended there, so passages go from the first to the
     last bigram of a maximal stretch of template bigrams.
 
-    ``templates`` is a parameter held in the plan, so
+    ``templates`` (default :func:`known_templates`) is held in the plan, so
     meant for the usual some hundred wordings.  Null and empty texts have no
     units.  Rows are kept as they are, null ids and repeated rows too.
     """
-    known = _template_table(docs.sparkSession, templates)
+    known = _template_table(docs.sparkSession, known_templates() if templates is None else templates)
     if not known:
         known = [("", 0, ["\n"], [0])]  # matches no text
     least = [-(-percent * len(b) // (200 - percent)) for _, _, b, _ in known]
@@ -106,7 +119,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percen
     joined = lambda a, b: F.concat_ws(" ", a, b)
     all_hashes = sorted({x for *_, h in known for x in h})
     constant = lambda h: F.split(F.lit(",".join(map(str, h))), ",").cast("array<bigint>")
-    hits = F.array_intersect(pairs(F.col("w"), lambda a, b: F.xxhash64(joined(a, b))), constant(all_hashes))
+    hits = F.array_intersect(constant(all_hashes), pairs(F.col("w"), lambda a, b: F.xxhash64(joined(a, b))))
     d = d.select("doc_id", "x", "w", hits.alias("hits"))
     # numbers of the templates of which the text has enough bigrams
     enough = [F.when((F.size("hits") >= k) & (F.size(F.array_intersect("hits", constant(h))) >= k), F.lit(i))

@@ -95,4 +95,15 @@ def test_op3(rows, result):
     got = {r["doc_id"]: tuple(r[c] for c in COLUMNS[:5]) for r in result("op3_license_scan")}
     docs = dict(rows("documents", "doc_id", "text"))
     assert set(got) == set(docs)
-    assert got == {i: brute_scan(t, licenses.TEMPLATES) for i, t in docs.items()}
+    assert got == {i: brute_scan(t, licenses.known_templates()) for i, t in docs.items()}
+
+
+def test_usual_licences_and_headers(spark):
+    """Every wording, wrapped anew and as comment lines between other text, is found as itself."""
+    templates = licenses.known_templates()
+    assert {"BSD-2-Clause", "GPL-3.0-header", "MPL-2.0-header", "LGPL-2.1", "AGPL-3.0-header", "Unlicense", "CC0-1.0"} <= set(templates)
+    names = sorted(templates)
+    code = "\n".join(f"x{i} = y{i}(z{i})" for i in range(40))
+    texts = [f"{code}\n{textwrap.fill(templates[i], 61, initial_indent='# ', subsequent_indent='# ')}\n{code}" for i in names]
+    got = scan(spark, texts)
+    assert [got[k][2:4] for k in range(len(names))] == [(i, 1.0) for i in names]
