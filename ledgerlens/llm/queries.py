@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import arc, chat, decontaminate, licenses, lines, near_dedup, packing, quality, substring, tokens
+from ledgerlens.llm import (arc, chat, decontaminate, filters, licenses, lines, near_dedup, packing, pages, quality, repair, substring,
+                            tokens)
 from ledgerlens.llm._tables import shared_path
 
 
@@ -78,6 +79,22 @@ def op10_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(_table(spark, sf_dir, "documents"))
 
 
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with damage, their faults and cheapest repairs."""
+    return repair.repair_report(_table(spark, sf_dir, "conversations"))
+
+
+def op12_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.extract_pages(_table(spark, sf_dir, "pages"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in every order, per source."""
+    return filters.audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_length_buckets, op2_substring_dedup, op3_license_scan, op4_decontaminate, op5_section_tokens,
-    op6_near_duplicates, op7_quality_rules, op8_chat_windows, op9_arc_to_warc, op10_line_windows)}
+    op6_near_duplicates, op7_quality_rules, op8_chat_windows, op9_arc_to_warc, op10_line_windows,
+    op11_repair_conversations, op12_extract_pages, op13_filter_audit)}

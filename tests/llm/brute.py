@@ -207,3 +207,59 @@ def cut_overlaps(docs, items, ngram=10):
             begin = found[p].end()
         out.append((i, "".join(kept) + text[begin:] if hit else text))
     return out
+
+
+def repair(turns):
+    """{conv_id: contract values of op11}; turns: [(conv_id, turn, role, text)]."""
+    import zlib
+
+    convs = {c: [] for c, *_ in turns}
+    known = lambda x: " " if x is None else str(x)
+    for c, turn, role, text in turns:
+        role, text, kind = known(role), known(text), zlib.crc32(f"{known(c)}:{known(turn)}".encode()) % 20
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        row = (turn is not None, turn or 0, "user" if kind == 4 else role, text)
+        convs[c] += [row] * (2 if kind == 3 else 1)
+    return {c: repair_one([(t if has else None, r, x) for has, t, r, x in sorted(rows)]) for c, rows in convs.items()}
+
+
+def repair_one(rows):
+    """rows (turn, role, text) in order; a table filled row by row instead of a search."""
+    legal = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (3, "u"): 2, (2, "a"): 3}
+    faults, seen = [], set()
+    for _, role, text in rows:
+        body = text.strip(" \t\n\v\f\r")
+        faults.append("b" if not body else "d" if (role, text) in seen else "t" if body[-1] not in ".!?" else "")
+        seen.add((role, text))
+    turn = {0: "user", 1: "user", 2: "assistant", 3: "user"}
+    step = lambda q: legal[q, turn[q][0]]
+
+    def inserts(best):
+        for _ in range(4):
+            for q in list(best):
+                cost, audit, out = best[q]
+                new = (cost + 2, audit + "I", out + (f"{turn[q]}:",))
+                best[step(q)] = min(best.get(step(q), new), new)
+        return best
+
+    best = inserts({0: (0, "", ())})
+    for (_, role, text), fault in zip(rows, faults):
+        new = {}
+        for q, (cost, audit, out) in best.items():
+            options = [(q, (cost + 3, audit + "D", out))]
+            if fault not in ("b", "d"):
+                late = fault == "t"
+                options.append((step(q), (cost + 2 + late, audit + "R", out + (f"{turn[q]}:{text}",))))
+                if (q, role[:1]) in legal:
+                    options.append((legal[q, role[:1]], (cost + late, audit + "K", out + (f"{role}:{text}",))))
+            for to, value in options:
+                new[to] = min(new.get(to, value), value)
+        best = inserts(new)
+    cost, audit, out = min(best[q] for q in (0, 3) if q in best)
+    turns = {t for t, *_ in rows if t is not None}
+    roles = [r[:1] for _, r, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(roles, roles[1:]))
+    return (max(turns) - min(turns) + 1 - len(turns) if turns else 0, faults.count("b"), faults.count("d"), faults.count("t"),
+            illegal, cost, audit, sha("\n".join(out)))
