@@ -24,8 +24,8 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet (compressed by ``codec``, the session's by default) in the shared folder and read it back.
 
     Cuts the lineage durably: a lost executor costs a re-read, not a re-run.
     The shuffle files of the write are dropped when it ends, so a job of many
@@ -36,7 +36,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     finally:
         spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

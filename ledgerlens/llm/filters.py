@@ -29,6 +29,8 @@ FILTERS = "ABCDE"
 MIN_WORDS, DISTINCT_PERCENT, UPPER_PERCENT, SYMBOLS = 50, 65, 5, b"#$%&*|"
 #: Bytes of text in a shard (a longer document is a shard of its own).
 SHARD_BYTES = 8 << 20
+#: Words that a numbering task gathers before it writes them by shard.
+PACK_ROWS = 1 << 20
 
 _FACTS = "doc_id array<long>, part array<string>, marks array<int>, digest array<binary>"
 _LOCAL = f"shard long, {_FACTS}, indptr array<long>, columns array<int>, counts array<int>, words array<binary>"
@@ -90,30 +92,78 @@ def local_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     return docs.mapInArrow(run, _LOCAL)
 
 
+def _numbered(words: DataFrame) -> DataFrame:
+    """Numbers of ``words`` (shard, at, word), equal words having one number.
+
+    Words are dealt by hash and stream by in order, so a task holds no
+    dictionary.  A row holds the places and numbers of one shard (many, where
+    the task meets the shard often), or, with a null shard, new words and the
+    number of the first of them.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, last, held, rows = TaskContext.get().partitionId() << 40, None, [], 0
+
+        def flush() -> pa.RecordBatch:
+            shard, at, term = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(shard, kind="stable")
+            shard, at, term = shard[order], at[order], term[order]
+            starts = np.flatnonzero(np.diff(shard, prepend=shard[0] - 1))
+            ends = pa.array(np.append(starts, len(shard)), pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(shard[starts]), pa.ListArray.from_arrays(ends, pa.array(at)), pa.ListArray.from_arrays(ends, pa.array(term)),
+                 pa.nulls(len(starts), pa.int64()), pa.nulls(len(starts), pa.list_(pa.binary()))], names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            coded = batch.column(2).dictionary_encode()
+            known = coded.dictionary
+            same = int(known[0].as_py() == last)  # the first word had its number in the batch before
+            codes = coded.indices.to_numpy().astype(np.int64) + n - same
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), codes))
+            if len(known) > same:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int32())), pa.nulls(1, pa.list_(pa.int64())), pa.array([n], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array([0, len(known) - same], pa.int32()), known.slice(same).cast(pa.binary()))], names)
+            n, last, rows = n + len(known) - same, known[-1].as_py(), rows + batch.num_rows
+            if rows >= PACK_ROWS:
+                yield flush()
+                held, rows = [], 0
+        if held:
+            yield flush()
+
+    schema = "shard long, at array<int>, terms array<long>, first long, words array<binary>"
+    names = [x.split()[0] for x in schema.split(", ")]
+    return words.repartition("word").sortWithinPartitions("word").mapInArrow(run, schema)
+
+
 def document_term_matrix(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
     """(matrix, dictionary) of ``docs`` (doc_id, part, text).
 
     dictionary: word (binary), term (its number, unique over the corpus).
     matrix: a row per shard with the facts of its documents and their CSR rows,
-    ``columns`` being terms.  A word meets the dictionary once per shard, not
-    once per document, so a word of every document costs a row per shard.
+    ``columns`` being terms.  A word is numbered once per shard, not once per
+    document, so a word of every document costs a row per shard.
     """
-    local = materialize(local_shards(docs, shard_bytes), "shards")
+    local = materialize(local_shards(docs, shard_bytes), "shards", "zstd")
     words = local.select("shard", F.posexplode("words").alias("at", "word"))
     # numbered while written: what is read back is one numbering, whatever was retried
-    dictionary = materialize(words.groupBy("word").agg(F.count("*").alias("n_shards"))
-                             .withColumn("term", F.monotonically_increasing_id()), "dictionary").select("word", "term")
-    terms = words.join(dictionary.withColumnRenamed("word", "_word"), F.expr("word = _word")).groupBy("shard").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("at", "term"))), lambda x: x["term"]).alias("terms"))
-    both = local.drop("words").join(terms.withColumnRenamed("shard", "_shard"), F.expr("shard = _shard"), "left")
+    numbered = materialize(_numbered(words), "numbers", "zstd")
+    dictionary = numbered.filter("shard IS NULL").select("first", F.posexplode("words").alias("i", "word")).select(
+        "word", (F.col("first") + F.col("i")).alias("term"))
+    packs = numbered.filter("shard IS NOT NULL").groupBy("shard").agg(F.collect_list(F.struct("at", "terms")).alias("p"))
+    terms = packs.select(F.col("shard").alias("_shard"), F.flatten(F.transform("p", lambda x: x["at"])).alias("at"),
+                         F.flatten(F.transform("p", lambda x: x["terms"])).alias("terms"))
+    both = local.drop("words").join(terms, F.expr("shard = _shard"), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                numbers = row.column("terms").flatten().to_numpy()
-                columns = row.column("columns").flatten().to_numpy()
-                terms = numbers[columns] if len(columns) else np.zeros(0, np.int64)
+                columns, at, terms = (row.column(c).flatten().to_numpy() for c in ("columns", "at", "terms"))
+                numbers = np.zeros(len(terms), np.int64)
+                numbers[at] = terms
+                terms = numbers[columns]
                 arrays = {n: row.column(n) for n in row.schema.names}
                 arrays["columns"] = pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), pa.array(terms, pa.int64()))
                 names = [x.split()[0] for x in _MATRIX.split(", ")]
