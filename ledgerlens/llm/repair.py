@@ -185,8 +185,8 @@ def _illegal(a: str, b: str) -> bool:
 class _Stretch:
     """Consecutive rows of one conversation."""
 
-    def __init__(self, conv_id: object, opens: bool) -> None:
-        self.conv_id, self.opens = conv_id, opens  # opens: certainly the conversation's first rows
+    def __init__(self, conv_id: object, opens: bool, limit: int) -> None:
+        self.conv_id, self.opens, self.limit = conv_id, opens, limit  # opens: certainly the conversation's first rows
         self.rows: list[tuple] = []
         self.size = 0
 
@@ -195,7 +195,7 @@ class _Stretch:
         self.size += len(text)
 
     def full(self) -> bool:
-        return len(self.rows) >= STRETCH_ROWS or self.size >= STRETCH_BYTES
+        return len(self.rows) >= self.limit or self.size >= STRETCH_BYTES
 
     def line(self, part: int, at: int, closes: bool) -> dict:
         roles = [r[1] for r in self.rows]
@@ -215,12 +215,12 @@ class _Stretch:
                 "illegal": sum(map(_illegal, roles, roles[1:])), "roles": roles, "texts": [r[2] for r in self.rows], "paths": paths}
 
 
-def stretches(rows: DataFrame) -> DataFrame:
+def stretches(rows: DataFrame, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """Stretches of damaged ``rows``, each with the cheapest paths between the states at its ends.
 
     Rows are dealt by ranges of (conv_id, turn, role, text), so a conversation
     of very many rows is spread over tasks like any others; a stretch ends
-    with its conversation, its task or STRETCH_ROWS rows.  (part, at) orders
+    with its conversation, its task or ``stretch_rows`` rows.  (part, at) orders
     the stretches of a conversation.  Paths are told from all states except
     where the stretch is known to begin or end its conversation.
     """
@@ -244,12 +244,12 @@ def stretches(rows: DataFrame) -> DataFrame:
                     same = conv_id == now.conv_id
                     lines.append(now.line(part, at, not same))
                     size, at = size + now.size, at + 1
-                    now = _Stretch(conv_id, not same)
+                    now = _Stretch(conv_id, not same, stretch_rows)
                     if len(lines) >= 1000 or size >= STRETCH_BYTES:
                         yield pa.RecordBatch.from_pylist(lines, arrow)
                         lines, size = [], 0
                 elif now is None:
-                    now = _Stretch(conv_id, False)
+                    now = _Stretch(conv_id, False, stretch_rows)
                 now.add(*row)
         if now is not None:
             lines.append(now.line(part, at, False))
@@ -283,7 +283,7 @@ def _joined(parts: list[dict]) -> tuple[int, str, list[int]]:
     return cost, audit, choices
 
 
-def repair_conversations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repair_conversations(rows: DataFrame, stretch_rows: int = STRETCH_ROWS) -> tuple[DataFrame, DataFrame]:
     """(told, repaired) of ``rows`` (conv_id, turn, role, text; no nulls in the last two).
 
     told: a row per conversation: gaps, blank, duplicate, truncated, illegal,
@@ -300,7 +300,7 @@ def repair_conversations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     empty results.
     """
     schema = rows.schema["conv_id"].dataType.simpleString()
-    s = materialize(stretches(rows), "stretches")
+    s = materialize(stretches(rows, stretch_rows), "stretches")
     facts = F.struct("part", "at", "first", "last", "low", "high", "n_turns", "blank", "duplicate", "truncated", "illegal", "paths")
     whole = s.groupBy("conv_id").agg(F.sort_array(F.collect_list(facts)).alias("parts"))
 
@@ -365,9 +365,9 @@ def repaired_digests(repaired: DataFrame) -> DataFrame:
     return d.mapInArrow(run, f"conv_id {schema}, repaired_sha256 string")
 
 
-def repair_report(conversations: DataFrame) -> DataFrame:
+def repair_report(conversations: DataFrame, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """One row per conv_id of ``conversations``, damaged and repaired; ids without rows after the damage have zeros."""
-    told, repaired = repair_conversations(damage(conversations))
+    told, repaired = repair_conversations(damage(conversations), stretch_rows)
     digests = repaired_digests(repaired).withColumnRenamed("conv_id", "_digest_id")
     told = told.withColumnRenamed("conv_id", "_told_id")
     ids = pick(conversations, "conv_id").distinct()
