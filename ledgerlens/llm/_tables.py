@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.session import checkpoint_root
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of our own only where it is unset (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-checkpoint-"))
-        root = spark.sparkContext.getCheckpointDir()
-    return root.rstrip("/")
+    """The folder in ``spark.checkpoint.dir``; there is no other, as executors share none besides."""
+    return checkpoint_root(spark)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -65,11 +62,5 @@ def with_side(df: DataFrame, side: DataFrame, id_col: str, how: str = "left") ->
     return left.join(right, on, how), own, extra
 
 
-def keep_rows(df: DataFrame, ids: DataFrame, id_col: str, how: str = "left_semi") -> DataFrame:
-    """Rows of ``df`` whose id is (left_semi) or is not (left_anti) in ``ids``; df's columns unchanged."""
-    joined, own, _ = with_side(df, ids, id_col, how)
-    return joined.select(*own).toDF(*df.columns)
-
-
 def text_or_empty(col: Column) -> Column:
     return F.coalesce(col, F.lit(""))

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 from itertools import repeat
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm._tables import keep_rows, materialize, pick, text_or_empty, with_side
+from ledgerlens.llm._tables import materialize, pick, text_or_empty
 
 #: Text bytes of test items in one automaton: what one broadcast and one worker hold.
 BLOCK_BYTES = 4 << 20
@@ -160,29 +161,37 @@ class SuffixAutomaton:
 _built: dict[str, SuffixAutomaton] = {}
 
 
+def _automaton(number: str, shared, ngram: int) -> SuffixAutomaton:
+    """The automaton of a block, built once per Python worker and block."""
+    if number not in _built:
+        _built.clear()
+        _built[number] = SuffixAutomaton(shared.value, ngram)
+    return _built[number]
+
+
 def _scan(docs: DataFrame, shared, ngram: int, hits_only: bool) -> DataFrame:
-    number = uuid.uuid4().hex
+    """doc_id, n_words, spans and items of ``docs`` (doc_id, text, further columns, which are handed on)."""
+    number, more = uuid.uuid4().hex, docs.columns[2:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if number not in _built:  # once per Python worker and block
-            _built.clear()
-            _built[number] = SuffixAutomaton(shared.value, ngram)
-        scan = _built[number].scan
+        scan = _automaton(number, shared, ngram).scan
         for batch in batches:
-            ids, counts, spans, items = [], [], [], []
-            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            rows, counts, spans, items = [], [], [], []
+            for i, raw in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
                 n, s, x = scan(raw or b"")
                 if s or not hits_only:
-                    ids.append(doc_id)
+                    rows.append(i)
                     counts.append(n)
                     spans.append([{"start": a, "end": b} for a, b in s])
                     items.append(sorted(x))
+            take = lambda c: batch.column(c).take(pa.array(rows, pa.int32()))
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64()), pa.array(counts, pa.int64()),
+                take("doc_id"), pa.array(counts, pa.int64()),
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                pa.array(items, pa.list_(pa.string()))], ["doc_id", "n_words", "spans", "items"])
+                pa.array(items, pa.list_(pa.string())), *map(take, more)], ["doc_id", "n_words", "spans", "items", *more])
 
-    return docs.mapInArrow(run, f"doc_id long, n_words long, spans {SPANS}, items array<string>")
+    kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in more)
+    return docs.mapInArrow(run, f"doc_id long, n_words long, spans {SPANS}, items array<string>{kinds}")
 
 
 def find_overlaps(docs: DataFrame, items: DataFrame, ngram: int = 10,
@@ -192,92 +201,119 @@ def find_overlaps(docs: DataFrame, items: DataFrame, ngram: int = 10,
     ``items`` (item_id, text) may have any size: it is dealt by hash into
     blocks of about ``block_bytes`` of text, and each block is one automaton,
     broadcast on its own.  With one block the documents are scanned without
-    any shuffle.  With more, each block's hits are written and merged by
-    doc_id.
+    any shuffle.  With more, each block's hits are written and merged by the
+    text's hash.
 
     Null texts have no words; items without words match nothing; a null
     item_id counts as the empty string; equal items under several ids all
-    count; rows that repeat a doc_id are scanned each (with several blocks
-    they share their hits).  Empty tables give empty results or no hits.
+    count; rows that repeat a doc_id are scanned each.  Empty tables give
+    empty results or no hits.
     """
-    spark = docs.sparkSession
     d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_or_empty(F.col("text")).alias("text"))
+    blocks = _blocks(items, block_bytes)
+    if len(blocks) == 1:
+        return _scan(d, blocks[0](), ngram, hits_only=False)
+    merged = _found(d, blocks, ngram)
+    counted = _scan(d.withColumn("key", F.xxhash64("text")), d.sparkSession.sparkContext.broadcast([]), ngram, hits_only=False)
+    return counted.join(merged, F.expr("key = _key"), "left").select(
+        "doc_id", "n_words", F.coalesce(merged["spans"], F.array().cast(SPANS)).alias("spans"),
+        F.coalesce(merged["items"], F.array().cast("array<string>")).alias("items"))
+
+
+def _blocks(items: DataFrame, block_bytes: int) -> list[Callable]:
+    """For every block of ``items`` a function that broadcasts its (item_id, text) rows."""
+    spark = items.sparkSession
     bench = pick(items, "item_id", "text").select(
         text_or_empty(F.col("item_id").cast("string")).alias("item_id"), text_or_empty(F.col("text")).alias("text"))
     size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
+    n = max(1, -(-size // block_bytes))
 
     def shared(block: int):
-        rows = bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+        rows = bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block).collect()
         return spark.sparkContext.broadcast(sorted((r["item_id"], r["text"].encode()) for r in rows))
 
-    if blocks == 1:
-        return _scan(d, shared(0), ngram, hits_only=False)
+    return [partial(shared, block) for block in range(n)]
+
+
+def _found(docs: DataFrame, blocks: list[Callable], ngram: int) -> DataFrame:
+    """(_key, spans, items) of the texts that any block hits; _key is the text's hash, so equal texts share a row."""
+    d = docs.filter("text IS NOT NULL").select(F.lit(None).cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key"))
     found = None
-    for block in range(blocks):
-        part = materialize(_scan(d, shared(block), ngram, hits_only=True), "overlaps")
+    for block in blocks:
+        part = materialize(_scan(d, block(), ngram, hits_only=True), "overlaps")
         found = part if found is None else found.union(part)
-    merged = materialize(_merge(found), "overlaps")
-    counted = _scan(d, spark.sparkContext.broadcast([]), ngram, hits_only=False).select("doc_id", "n_words")
-    merged = merged.withColumnRenamed("doc_id", "_id")
-    return counted.join(merged, F.expr("doc_id = _id"), "left").select(
-        "doc_id", "n_words", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return materialize(_merge(found), "overlaps").withColumnRenamed("key", "_key")
 
 
 def _merge(found: DataFrame) -> DataFrame:
-    """One row per doc_id: its blocks' spans merged, its items without repeats."""
+    """One row per key: its blocks' spans merged, its items without repeats."""
+    found = found.dropDuplicates(["key", "spans", "items"])  # copies of a text
     spans = F.array_sort(F.flatten(F.collect_list("spans")))
     merged = F.aggregate("s", F.array().cast(SPANS), lambda a, x: F.when(
         (F.size(a) > 0) & (F.element_at(a, -1)["end"] >= x["start"]),
         F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(
             F.element_at(a, -1)["start"].alias("start"), F.greatest(F.element_at(a, -1)["end"], x["end"]).alias("end")))),
     ).otherwise(F.concat(a, F.array(x))))
-    return (found.groupBy("doc_id").agg(spans.alias("s"), F.array_sort(F.array_distinct(
-        F.flatten(F.collect_list("items")))).alias("items")).select("doc_id", merged.alias("spans"), "items"))
+    return (found.groupBy("key").agg(spans.alias("s"), F.array_sort(F.array_distinct(
+        F.flatten(F.collect_list("items")))).alias("items")).select("key", merged.alias("spans"), "items"))
 
 
-def _cut(raw: bytes, spans: list[dict]) -> bytes:
+def _cut(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without its hit words and what stands between them."""
     at = [m.span() for m in _WORD.finditer(raw)]
     out, begin = [], 0
     for s in spans:
-        a, b = s["start"], min(s["end"], len(at))
+        a, b = s[0], min(s[1], len(at))
         if a < b:
             out.append(raw[begin:at[a][0]])
             begin = at[b - 1][1]
     return b"".join(out) + raw[begin:]
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, ngram: int = 10, max_coverage: float = 0.5) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, ngram: int = 10, max_coverage: float = 0.5,
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without test passages; columns unchanged.
 
     Spans of matched windows (``ngram`` words or more) are cut from the text,
     and n_chars is set anew.  A document of whose words more than
-    ``max_coverage`` are hit is dropped.  All others keep their text as it
-    is, null texts and null ids too.
+    ``max_coverage`` are hit is dropped.  All others keep their text as it is.
+    Every row is judged and cut by its own text, whatever other rows share
+    its id, and with a null id too.  With one block of items a row is scanned
+    and cut in one go, without a shuffle.
     """
-    hits = find_overlaps(docs, items, ngram).filter("size(spans) > 0 AND doc_id IS NOT NULL").select(
-        "doc_id", "spans", (F.aggregate("spans", F.lit(0), lambda a, s: a + s["end"] - s["start"])
-                            > max_coverage * F.col("n_words")).alias("drop")).dropDuplicates(["doc_id"])
-    hits = materialize(hits, "hits")
-    left = keep_rows(docs, hits.filter("drop").select("doc_id"), "doc_id", "left_anti")
-    joined, own, (_, spans, _drop) = with_side(left, hits.filter("NOT drop"), "doc_id")
-    text, schema = own[docs.columns.index("text")], joined.select(*own, spans).schema
+    own = [f"_c{i}" for i in range(len(docs.columns))]
+    flat = docs.toDF(*own)
+    text = own[docs.columns.index("text")]
     n_chars = own[docs.columns.index("n_chars")] if "n_chars" in docs.columns else None
+    blocks = _blocks(items, block_bytes)
+    spans = "_spans"
+    if len(blocks) == 1:
+        shared, number = blocks[0](), uuid.uuid4().hex
+    else:
+        found = _found(flat.select(F.col(text).alias("text")), blocks, ngram)
+        flat = flat.join(found.select("_key", "spans"), F.xxhash64(text) == F.col("_key"), "left").select(*own, F.col("spans").alias(spans))
+        shared = number = None
+    plain = docs.toDF(*own).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.column(spans).to_pylist()
             texts = batch.column(text).cast(pa.binary()).to_pylist()
-            new = [_cut(t, s) if s and t is not None else t for t, s in zip(texts, rows)]
-            columns = {own[i]: batch.column(own[i]) for i in range(len(own))}
-            columns[text] = pa.array(new, pa.binary()).cast(batch.column(text).type)
+            if number is not None:
+                scan = _automaton(number, shared, ngram).scan
+                rows = [scan(t)[1] if t is not None else None for t in texts]
+            else:
+                rows = [[(s["start"], s["end"]) for s in r or ()] for r in batch.column(spans).to_pylist()]
+            new, keep, lengths = [], [], batch.column(n_chars).to_pylist() if n_chars else None
+            for i, (t, s) in enumerate(zip(texts, rows)):
+                hit = sum(b - a for a, b in s or ())
+                keep.append(not hit or hit <= max_coverage * len(words(t)))
+                new.append(_cut(t, s) if hit and keep[-1] else t)
+                if lengths and hit:
+                    lengths[i] = len(new[-1].decode())
+            columns = {c: batch.column(c) for c in own}
+            columns[text] = pa.array(new, pa.binary()).cast(columns[text].type)
             if n_chars:
-                columns[n_chars] = pa.array(
-                    [len(t.decode()) if s and t is not None else n
-                     for t, s, n in zip(new, rows, batch.column(n_chars).to_pylist())], batch.column(n_chars).type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+                columns[n_chars] = pa.array(lengths, columns[n_chars].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns)).filter(pa.array(keep, pa.bool_()))
 
-    plain = schema[:-1]
-    return joined.select(*own, spans).mapInArrow(run, plain).toDF(*docs.columns)
+    return flat.mapInArrow(run, plain).toDF(*docs.columns)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm._graph import components
-from ledgerlens.llm._tables import keep_rows, materialize, pick
+from ledgerlens.llm._tables import materialize, pick
 from ledgerlens.llm._words import LOWER, U64, WordHasher, parts, windows
 
 #: A signature is HASHES one-byte minima; BANDS bands of ROWS of them.  A pair of
@@ -66,7 +66,7 @@ def signatures(sets: list[np.ndarray], multipliers: np.ndarray) -> np.ndarray:
 
 
 def sign(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, signature) per row of ``docs``; the last two null without words."""
+    """(doc_id, n_shingles, set_key, signature, text_hash) per row of ``docs``; set_key and signature are null without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, multipliers = WordHasher(LOWER), _multipliers()
         for batch in batches:
@@ -80,9 +80,11 @@ def sign(docs: DataFrame, k: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s, digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                     pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary()),
-                ], ["doc_id", "n_shingles", "set_key", "signature"])
+                    batch.column(2).slice(part.start, part.stop - part.start),
+                ], ["doc_id", "n_shingles", "set_key", "signature", "text_hash"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary")
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return hashed.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary, text_hash long")
 
 
 def prune_bounds(percent: int, miss: float = MISS) -> np.ndarray:
@@ -221,16 +223,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     that are still in different components meet on their rarest shingles
     (:func:`_rare_pairs`, an exact bound).  No bucket is capped.
 
-    Null or wordless texts have an empty set and stay alone; rows with a null
-    id have a null component and are kept; rows that repeat an id are one
-    node (all of them kept or none).  An empty table gives an empty result.
+    Null or wordless texts have an empty set and stay alone.  Rows that repeat
+    an id are one document with several texts: it is linked by each of them,
+    and all its rows with words are kept or none.  Rows with a null id have a
+    null component and are kept.  An empty table gives an empty result.
+
+    Nodes are classes of equal sets, under numbers of their own; ids come in
+    at the end, a component's being the smallest of its classes' ids.
     """
     d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     signed = materialize(sign(d, k), "signatures")
     known = signed.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
-    classes = materialize(known.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = known.join(classes.select("rep"), F.expr("doc_id = rep"), "left_semi").dropDuplicates(["doc_id"])
-    reps = reps.select(F.col("doc_id").alias("rep"), "n_shingles", "signature")
+    # numbered while written, so the numbers stay what they are
+    classes = materialize(known.groupBy("set_key").agg(F.min("doc_id").alias("least"))
+                          .withColumn("rep", F.monotonically_increasing_id()), "classes")
+    of = classes.select(F.col("set_key").alias("_key"), "least", "rep")
+    reps = known.join(of, F.expr("doc_id = least AND set_key = _key")).dropDuplicates(["rep"])
+    reps = reps.select("rep", "n_shingles", "signature", "least", "text_hash")
 
     bands = reps.select("rep", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
@@ -245,8 +254,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     hubs = hubs.select(F.col("bucket").alias("_bucket"), (-F.col("h.o")).alias("hub"))
     met = met.select("rep")
     signed_met = materialize(reps.join(met, "rep", "left_semi"), "met-signatures")
-    texts = materialize(keep_rows(d.filter("doc_id IS NOT NULL"), met, "doc_id").select(
-        F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep"]), "met-texts")
+    wanted = signed_met.select("rep", "least", F.col("text_hash").alias("_hash"))
+    texts = materialize(d.join(wanted, (F.col("doc_id") == F.col("least")) & (F.xxhash64("text") == F.col("_hash")))
+                        .select("rep", "text").dropDuplicates(["rep"]), "met-texts")
 
     def linked(pairs: DataFrame) -> DataFrame:
         left = materialize(prune(pairs, signed_met, percent), "pruned")
@@ -255,7 +265,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     stars = buckets.join(hubs, F.expr("bucket = _bucket")).filter("rep <> hub").select(
         F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
     stars = materialize(stars, "stars")
-    links = linked(stars)
+    same = _same_id(known, of)
+    links = linked(stars).union(same)
     group = components(links)
     members = _split(buckets, group)
     if not members.isEmpty():
@@ -263,16 +274,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         links = links.union(linked(rest))
         group = components(links)
 
-    member = classes.join(group, F.expr("rep = id"), "left").select(
-        F.col("set_key").alias("_key"), F.coalesce("component", "rep").alias("c"))
+    member = classes.join(group, F.expr("rep = id"), "left").select("set_key", "least", F.coalesce("component", "rep").alias("node"))
     member = materialize(member, "class-components")
-    component = F.coalesce(F.col("c"), F.col("doc_id"))
+    least = member.groupBy("node").agg(F.min("least").alias("c")).withColumnRenamed("node", "_node")
+    member = member.join(least, F.expr("node = _node")).select(F.col("set_key").alias("_key"), "c")
+    member = materialize(member, "class-ids")
+    component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("c")), F.col("doc_id"))
     return (signed.select("doc_id", "n_shingles", "set_key").join(member, F.expr("set_key = _key"), "left")
             .select("doc_id", "n_shingles", component.alias("component_id"),
                     F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")))
 
 
+def _same_id(known: DataFrame, of: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of ids that have several."""
+    several = known.select("doc_id", "set_key").distinct().groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    held = known.select("doc_id", "set_key").join(several.select(F.col("doc_id").alias("_id")), F.expr("doc_id = _id"))
+    held = held.join(of, F.expr("set_key = _key")).select("doc_id", "rep").distinct()
+    first = held.groupBy("doc_id").agg(F.min("rep").alias("a")).withColumnRenamed("doc_id", "_id")
+    return materialize(held.join(first, F.expr("doc_id = _id")).select("a", F.col("rep").alias("b")), "same-ids")
+
+
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with the smallest id of each near-duplicate component; columns unchanged, null ids kept."""
-    gone = near_duplicates(docs, k, percent).filter("NOT kept").select("doc_id").distinct()
-    return keep_rows(docs, materialize(gone, "near-copies"), "doc_id", "left_anti")
+    """``docs`` with the smallest id of each near-duplicate component; columns unchanged, null ids and wordless texts kept."""
+    gone = near_duplicates(docs, k, percent).filter("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
+    own = [f"_c{i}" for i in range(len(docs.columns))]
+    doc_id, text = (F.col(own[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    left = docs.toDF(*own).join(materialize(gone, "near-copies"), (doc_id == F.col("_id")) & text.rlike(r"[^ \t-\r]"), "left_anti")
+    return left.toDF(*docs.columns)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm._tables import keep_rows, materialize, pick, text_or_empty
+from ledgerlens.llm._tables import materialize, pick, text_or_empty
 
 #: Separator run between words, and one word character (Java regex).
 GAP, WORD_CHAR = r"[ \t-\r]+", r"[^ \t-\r]"
@@ -185,6 +185,17 @@ def fences(sketch: DataFrame, rates: tuple[Rate, ...] = RATES, spread: int = SPR
     return d.groupBy("lang", "source").agg(*columns)
 
 
+def _judged(measured: DataFrame, rates: tuple[Rate, ...], spread: int, min_group: int) -> DataFrame:
+    """``measured`` (a written table) with kept."""
+    limits = materialize(fences(sketches(measured, rates), rates, spread, min_group), "fences")
+    limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
+    within = F.lit(True)
+    for r in rates:
+        within &= rate(r).between(F.col(f"{r.name}_lo"), F.col(f"{r.name}_hi"))
+    joined = measured.join(limits, F.expr("lang <=> _lang AND source <=> _source"), "left")
+    return joined.select(*measured.columns, (~F.col("base_failed") & F.coalesce(within, F.lit(False))).alias("kept"))
+
+
 def quality_rules(docs: DataFrame, rates: tuple[Rate, ...] = RATES, spread: int = SPREAD,
                   min_group: int = MIN_GROUP) -> DataFrame:
     """One row per row of ``docs``: the measures, base_failed and kept.
@@ -193,22 +204,26 @@ def quality_rules(docs: DataFrame, rates: tuple[Rate, ...] = RATES, spread: int
     and source.  A group without fences (all its documents failed) keeps
     nothing.  Empty input gives an empty result; a null doc_id stays null.
     """
-    measured = materialize(measures(docs), "measures")
-    limits = materialize(fences(sketches(measured, rates), rates, spread, min_group), "fences")
-    limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    within = F.lit(True)
-    for r in rates:
-        within &= rate(r).between(F.col(f"{r.name}_lo"), F.col(f"{r.name}_hi"))
-    joined = measured.join(limits, F.expr("lang <=> _lang AND source <=> _source"), "left")
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         "base_failed", (~F.col("base_failed") & F.coalesce(within, F.lit(False))).alias("kept"))
+    judged = _judged(materialize(measures(docs), "measures"), rates, spread, min_group)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def keep_quality(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, columns unchanged.
 
-    Ids identify documents: rows that share one are kept if any of them is.
-    Rows with a null id are dropped.
+    Every row is kept or not by its own verdict, whatever other rows share its
+    id, and with a null id too.  Verdicts meet their rows by id and a hash of
+    what they are told from (text, lang and source).
     """
-    kept = quality_rules(docs).filter("kept").select("doc_id").distinct()
-    return keep_rows(docs, kept, "doc_id")
+    def key(text: Column, lang: Column, source: Column) -> Column:
+        return F.xxhash64(text, lang, lang.isNull(), source, source.isNull())
+
+    d = pick(docs, "doc_id", "lang", "source", "text")
+    numbered = d.select(F.struct("doc_id", key(d["text"], d["lang"], d["source"]).alias("row_key")).alias("doc_id"), "lang", "source", "text")
+    judged = _judged(materialize(measures(numbered), "measures"), RATES, SPREAD, MIN_GROUP)
+    kept = judged.filter("kept").select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.row_key").alias("_key")).distinct()
+    own = [f"_c{i}" for i in range(len(docs.columns))]
+    flat = docs.toDF(*own)
+    at = lambda name: F.col(own[docs.columns.index(name)])
+    hashed = key(at("text"), at("lang"), at("source"))
+    return flat.join(kept, at("doc_id").eqNullSafe(F.col("_id")) & (hashed == F.col("_key")), "left_semi").toDF(*docs.columns)

@@ -8,8 +8,9 @@ character spans, which are joined to the sections' spans as intervals.
 from __future__ import annotations
 
 import base64
+import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,12 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that goes with this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: White space of the pattern (the White_Space property), and runs of it that the pattern's own matcher cannot hold.
+_WHITE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+LONG_RUN = 100_000
+#: How such a pattern ends: a run goes without its last character, which goes with what follows.
+_RUN_RULE = r"\s+(?!\S)|\s+"
+
 SECTIONS = "array<struct<section:long,start:long,end:long>>"
 
 
@@ -106,10 +113,33 @@ def _encoder(number: str, raw: bytes, pattern: str) -> tuple:
         sizes[list(ranks.values())] = list(map(len, ranks))
         own = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         _encoders.clear()
-        _encoders[number] = own.encode_ordinary, sizes
+        _encoders[number] = (_with_runs(own) if pattern.endswith(_RUN_RULE) else own.encode_ordinary), sizes
     return _encoders[number]
 
 
+def _with_runs(encoding, long_run: int = LONG_RUN) -> Callable[[str], list[int]]:
+    """The encoder of whole texts, with very long runs of white space encoded as the pieces that the pattern makes of them.
+
+    A run before another character is one piece up to its last character; a
+    run that ends the text is one piece.  So the text is cut there, and its
+    tokens are those of the text uncut.
+    """
+    runs = re.compile(f"(?<!{_WHITE}){_WHITE}{{{long_run},}}")
+
+    def encode(text: str) -> list[int]:
+        if len(text) < long_run:
+            return encoding.encode_ordinary(text)
+        out, at = [], 0
+        for run in runs.finditer(text):
+            begin, end = run.start(), run.end() - (run.end() < len(text))
+            out += encoding.encode_ordinary(text[at:begin])
+            out += encoding._encode_single_piece(text[begin:end])
+            at = end
+        return out + encoding.encode_ordinary(text[at:])
+
+    return encode
+
+
 def _count(encode, sizes: np.ndarray, text: str, sections: pa.ListScalar) -> tuple[np.ndarray, ...]:
     spans = sections.values
     section, low, high = ((spans.field(c).to_numpy(zero_copy_only=False) if spans is not None else np.zeros(0, np.int64))

@@ -165,8 +165,7 @@ def quality_kept(docs, spread=3, min_group=100):
         n, chars, symbols, dup, repeat, failed = base[i]
         if not failed:
             n_lines = sum(1 for x in t.split("\n") if words(x))
-            rates[i] = (min(1000, 1000 * symbols // chars), min(1000, 1000 * repeat // n),
-                        min(1000, 1000 * dup // n_lines), min(4095, 100 * chars // n))
+            rates[i] = (1000 * symbols // chars, 1000 * repeat // n, 1000 * dup // n_lines, 100 * chars // n)
             for key in ((lang, source), (lang,), ()):
                 groups[key].append(rates[i])
     margins = (50, 150, 200, 150)
@@ -179,8 +178,7 @@ def quality_kept(docs, spread=3, min_group=100):
                 at = sorted(x[r] for x in rows)
                 low, high = at[-(-len(at) // 4) - 1], at[-(-3 * len(at) // 4) - 1]
                 floor = low - spread * (high - low) - 100 if r == 3 else -1
-                exact = (1000 * base[i][2] // base[i][1], mine, mine, 100 * base[i][1] // base[i][0])[r]
-                out[i] &= floor <= exact <= high + spread * (high - low) + margin
+                out[i] &= floor <= mine <= high + spread * (high - low) + margin
     return out
 
 
@@ -263,3 +261,28 @@ def repair_one(rows):
     illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(roles, roles[1:]))
     return (max(turns) - min(turns) + 1 - len(turns) if turns else 0, faults.count("b"), faults.count("d"), faults.count("t"),
             illegal, cost, audit, sha("\n".join(out)))
+
+
+def line_tokens(docs, encode, spell):
+    """[(doc_id, section, n_chars, n_tokens, n_crossing)], sorted; docs: [(doc_id, text)], spell: a token's bytes."""
+    out = []
+    for i, text in docs:
+        text = text or ""
+        owner_of, at = [], 0
+        lines = text.split("\n")
+        for k, line in enumerate(lines):
+            owner_of += [k] * len(line) + [-1] * (k < len(lines) - 1)
+        counts = {k: [owner_of.count(k) if len(lines) < 50 else 0, 0, 0] for k in range(-1, len(lines))}
+        if len(lines) >= 50:
+            for k, n in Counter(owner_of).items():
+                counts[k][0] = n
+        chars = [c for c, x in enumerate(text) for _ in x.encode()]
+        for token in encode(text):
+            size = len(spell(token))
+            held = Counter(owner_of[c] for c in set(chars[at:at + size]))
+            at += size
+            best = min((k for k in held if k >= 0), key=lambda k: (-held[k], k), default=-1)
+            counts[best][1] += 1
+            counts[best][2] += best >= 0 and len(held) > 1
+        out += [(i, k, *v) for k, v in counts.items()]
+    return sorted(out)

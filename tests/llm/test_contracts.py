@@ -36,6 +36,22 @@ def test_op4(rows, result):
     assert got == want and any(w[4] for w in want.values())
 
 
+def test_op5(rows, result):
+    import base64
+
+    import tiktoken
+
+    from ledgerlens.llm.tokens import PATTERN, VOCABULARY
+
+    with open(VOCABULARY, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file.read().splitlines())}
+    own = tiktoken.Encoding("v", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    spell = {n: b for b, n in ranks.items()}
+    want = brute.line_tokens(rows("documents", "doc_id", "text"), own.encode_ordinary, spell.__getitem__)
+    got = sorted(tuple(r[c] for c in ("doc_id", "section", "n_chars", "n_tokens", "n_crossing")) for r in result("op5_section_tokens"))
+    assert got == want
+
+
 def test_op6(rows, result):
     got = table(result("op6_near_duplicates"), "n_shingles", "component_id", "kept")
     assert got == brute.near(rows("documents", "doc_id", "text"), 2)
@@ -45,7 +61,8 @@ def test_op7(rows, result):
     got = result("op7_quality_rules")
     want = {i: brute.quality_base(t) for i, t in rows("documents", "doc_id", "text")}
     assert table(got, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed") == want
-    assert not any(r["kept"] and r["base_failed"] for r in got)
+    kept = brute.quality_kept(rows("documents", "doc_id", "text", "lang", "source"))
+    assert {r["doc_id"]: r["kept"] for r in got} == kept and 0 < sum(kept.values()) < len(kept)
 
 
 def test_op8(rows, result):

@@ -3,6 +3,7 @@
 from collections import defaultdict
 
 import brute
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import quality
 
@@ -12,15 +13,25 @@ def text(i, words, length):
     return " ".join(chr(0x4E00 + (i * 61 + k) % 9000) * (length + (i + k) % 3) + f"{k}" for k in range(words))
 
 
+def texts(spark, shapes):
+    """The same texts, made by Spark: (doc_id, i, words, length, lang, source) to (doc_id, text, lang, source)."""
+    letters = F.lit("".join(map(chr, range(0x4E00, 0x4E00 + 9000))))
+    letter = lambda k: F.substring(letters, (F.col("i") * 61 + k) % 9000 + 1, F.lit(1))
+    words = F.transform(F.sequence(F.lit(0), F.col("words") - 1), lambda k: F.concat(
+        F.repeat(letter(k), F.col("length") + (F.col("i") + k) % 3), k.cast("string")))
+    d = spark.createDataFrame(shapes, "doc_id long, i int, words int, length int, lang string, source string")
+    return d.select("doc_id", F.array_join(words, " ").alias("text"), "lang", "source")
+
+
 def word_length_kept(docs):
     """{doc_id: kept} by the word-length fence alone, from fully sorted exact rates without any cap."""
     rates, groups = {}, defaultdict(list)
-    for i, t, lang, source in docs:
-        n, chars, *_ = brute.quality_base(t)
+    for i, at, words, length, lang, source in docs:
+        n, chars, *_ = brute.quality_base(text(at, words, length))
         rates[i] = 100 * chars // n
         groups[lang, source].append(rates[i])
     out = {}
-    for i, _, lang, source in docs:
+    for i, *_, lang, source in docs:
         at = sorted(groups[lang, source])
         low, high = at[-(-len(at) // 4) - 1], at[-(-3 * len(at) // 4) - 1]
         out[i] = low - 3 * (high - low) - 100 <= rates[i] <= high + 3 * (high - low) + 150
@@ -29,18 +40,29 @@ def word_length_kept(docs):
 
 def test_groups_of_unspaced_text(spark):
     docs = []
-    for source, length in (("news", 43), ("books", 90), ("scrolls", 12_345)):
+    for source, length in (("news", 43), ("books", 90), ("scrolls", 400)):
         for i in range(120):
             words, by = (50 + i % 7, length + i % 11) if source != "scrolls" else (50, length)
-            docs.append((len(docs), text(i, words, by), "zh", source))
-        docs.append((len(docs), text(1, 60, 3 * length), "zh", source))
-        docs.append((len(docs), text(1, 60, max(1, length // 40)), "zh", source))
-    d = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+            docs.append((len(docs), i, words, by, "zh", source))
+        docs.append((len(docs), 1, 60, 3 * length if source != "scrolls" else 20_000, "zh", source))  # 1.2 million code points
+        docs.append((len(docs), 1, 60, max(1, length // 40), "zh", source))
+    d = texts(spark, docs)
+    assert max(r["n"] for r in d.select(F.length("text").alias("n")).collect()) > 1_000_000
     got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(d).collect()}
     assert got == word_length_kept(docs)
     assert sorted(i for i, kept in got.items() if not kept) == [120, 121, 242, 243, 364, 365]
 
 
+def test_rows_are_kept_by_their_own_verdict(spark):
+    """Null ids and ids that several rows share: every row for itself."""
+    good, bad = " ".join(f"word{i}" for i in range(80)), "too short"
+    rows = [(i, f"{good} {i}", "en", "s") for i in range(300)]
+    rows += [(None, good + " x", "en", "s"), (None, bad, "en", "s"), (7, bad, "en", "s"), (7, good + " y", "en", None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    want = sorted((r for r in rows if r[1] != bad), key=str)
+    assert sorted(map(tuple, quality.keep_quality(d).collect()), key=str) == want
+
+
 def test_bins_have_no_end(spark):
     """A bin holds the rates from its least to its end, exact below 2**BITS, narrow beyond."""
     values = [*range(0, 9000, 7), 4095, 4096, 4097, 8191, 8192, 10**6, 10**9 + 7, 2**62]

@@ -1,0 +1,74 @@
+"""Ids that several rows share and null ids; texts that a tokenizer's matcher cannot hold."""
+
+import base64
+
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import decontaminate, near_dedup, tokens
+
+A = " ".join(f"a{i}" for i in range(100))
+B = " ".join(f"b{i}" for i in range(100))
+PLAIN = " ".join(f"p{i}" for i in range(40))
+ITEM = " ".join(f"t{i}" for i in range(12))
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, n_chars long").repartition(3)
+
+
+def test_near_links_of_repeated_ids(spark):
+    rows = [(1, A), (5, B), (5, A + " x"), (7, B + " y"), (9, PLAIN), (5, ""), (None, A), (9, PLAIN)]
+    got = sorted((tuple(r) for r in near_dedup.near_duplicates(docs(spark, rows), k=2).collect()), key=str)
+    n = 99
+    assert got == sorted([(1, n, 1, True), (5, n, 1, False), (5, n + 1, 1, False), (7, n + 1, 1, False), (9, 39, 9, True), (9, 39, 9, True),
+                          (5, 0, 5, True), (None, n, None, True)], key=str)
+    left = sorted((tuple(r)[:2] for r in near_dedup.keep_one(docs(spark, rows), k=2).collect()), key=str)
+    assert left == sorted([(1, A), (9, PLAIN), (9, PLAIN), (5, ""), (None, A)], key=str)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 40])
+def test_passages_are_cut_row_by_row(spark, block_bytes):
+    items = spark.createDataFrame([(1, ITEM), (2, " ".join(f"u{i}" for i in range(11)))], "item_id long, text string")
+    mixed = f"{PLAIN} {ITEM} end"
+    rows = [(3, mixed), (3, PLAIN), (None, mixed), (None, PLAIN), (4, ITEM), (4, None), (3, mixed)]
+    got = decontaminate.decontaminate(docs(spark, rows), items, block_bytes=block_bytes).collect()
+    cut = f"{PLAIN}  end"
+    want = [(3, cut, len(cut)), (3, PLAIN, 0), (None, cut, len(cut)), (None, PLAIN, 0), (4, None, 0), (3, cut, len(cut))]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    found = decontaminate.find_overlaps(docs(spark, rows), items, block_bytes=block_bytes).collect()
+    hits = sorted((r["doc_id"] or 0, r["n_words"], [(s["start"], s["end"]) for s in r["spans"]], r["items"]) for r in found)
+    span = ([(40, 52)], ["1"])
+    assert hits == sorted([(3, 53, *span), (3, 40, [], []), (0, 53, *span), (0, 40, [], []), (4, 12, [(0, 12)], ["1"]), (4, 0, [], []),
+                           (3, 53, *span)])
+
+
+@pytest.fixture(scope="module")
+def encoding():
+    with open(tokens.VOCABULARY, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file.read().splitlines())}
+    return tiktoken.Encoding("v", pat_str=tokens.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_runs_are_cut_as_the_pattern_cuts(encoding):
+    encode = tokens._with_runs(encoding, long_run=3)
+    for white in (" ", "\n", "\t", "\u00a0", "\u2003", " \n", "\r\n ", "\x1f", "\u200b"):
+        for before in ("", "a", "1", "#", "é", "a "):
+            for after in ("", "b", "2", "!", "'s", " c", "\n"):
+                for n in (1, 2, 3, 4, 7, 50):
+                    text = before + white * n + after
+                    assert encode(text) == encoding.encode_ordinary(text), repr(text)
+    long = "a" + " " * 400_000 + "b"
+    assert tokens._with_runs(encoding)(long) == encoding.encode_ordinary(long)
+
+
+def test_three_million_of_one_character(spark):
+    """Nothing crashes, and the tokens of a document still spell its whole text."""
+    d = spark.createDataFrame([(i, c) for i, c in enumerate((" ", "\n", "a", "#", "1", "\u3000"))], "doc_id long, c string")
+    d = d.select("doc_id", F.concat(F.lit("a"), F.repeat("c", 3_000_000), F.lit("b")).alias("text"))
+    one = F.array(F.struct(F.lit(0).cast("long").alias("section"), F.lit(0).cast("long").alias("start"),
+                           F.lit(3_000_002).cast("long").alias("end")))
+    got = tokens.count_tokens(d.withColumn("sections", one)).filter("section = 0").collect()
+    assert sorted((r["doc_id"], r["n_chars"]) for r in got) == [(i, 3_000_002) for i in range(6)]
+    assert all(0 < r["n_tokens"] <= 9_000_002 for r in got)  # at most one a byte
