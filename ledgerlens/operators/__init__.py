@@ -7,7 +7,7 @@ from ledgerlens.operators.groups import (
 )
 from ledgerlens.operators.joins import bounded_broadcast, row_count_at_most
 from ledgerlens.operators.mix import category_mix
-from ledgerlens.operators.nearest import candidate_cells, nearest_point
+from ledgerlens.operators.nearest import NearestIndex, nearest_point, open_index, store_index
 from ledgerlens.operators.periods import busiest_month, monthly_counts, yoy_change
 from ledgerlens.operators.shuffle import random_order
 from ledgerlens.operators.summarize import Lookup, summarize
@@ -26,13 +26,15 @@ __all__ = [
     "bottom_groups_by_median",
     "bounded_broadcast",
     "busiest_month",
-    "candidate_cells",
+    "NearestIndex",
     "category_mix",
     "distinct_types",
     "enriched_counts",
     "flag_share",
     "monthly_counts",
     "nearest_point",
+    "open_index",
+    "store_index",
     "postcode_prices",
     "random_order",
     "row_count_at_most",

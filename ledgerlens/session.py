@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings every job wants: adaptive execution (coalesces small shuffle
@@ -56,3 +58,12 @@ def checkpoint_root(spark: SparkSession) -> str:
             "(HDFS/S3/...) before starting durable jobs"
         )
     return root.rstrip("/")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """:func:`checkpoint_root`; where it is unset in a local session, which is
+    one process, a folder of its own.  On a cluster an unset folder raises."""
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    if local and not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-checkpoint-"))
+    return checkpoint_root(spark)

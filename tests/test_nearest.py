@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from ledgerlens.operators import nearest_point
+from ledgerlens.operators import nearest_point, open_index, store_index
 from ledgerlens.plans.inspect import plan_text, scan_ancestors, slow_operators
 from ledgerlens.streaming import checkpoint_path, start_memory
 
@@ -62,8 +62,8 @@ def test_random_layouts_equal_brute_force(spark, pts, refs, radius):
 @SETTINGS
 @given(point_lists, ref_lists, st.sampled_from([1.0, 2.5, 7.0]), st.sampled_from([1, 2, 3]))
 def test_dense_cells_split_into_chunks_equal_brute_force(spark, pts, refs, radius, chunk):
-    """Cells with more than ``chunk`` candidates are split; points of such
-    cells take the best of every part."""
+    """Cells with more than ``chunk`` candidates are refined; a point meets the
+    cell of its own place."""
     points = [(i, x, y) for i, (x, y) in enumerate(pts)]
     want = brute_force(points, refs, radius)
     assert run(spark, points, refs, radius, chunk=chunk) == want
@@ -152,13 +152,81 @@ def test_stream_equals_batch(spark, scratch):
     assert got == sorted(tuple(r) for r in nearest_point(pts, refs, radius=0.2).collect())
 
 
-def test_stream_with_dense_cells_is_refused(spark, scratch):
+def test_stream_over_a_stored_index_with_dense_cells_equals_batch(spark, scratch):
+    """Cells are refined for two candidates; the stream opens the stored index,
+    and its micro-batches read nothing of the reference."""
     pts, refs = derived_layout(spark)
-    path = os.path.join(scratch, f"points_{uuid.uuid4().hex[:6]}")
-    pts.limit(10).write.parquet(path)
-    stream = spark.readStream.schema(pts.schema).parquet(path)
-    with pytest.raises(ValueError, match="smaller radius"):
-        nearest_point(stream, refs, radius=0.2, chunk=1)
+    folder = os.path.join(scratch, f"ref_{uuid.uuid4().hex[:6]}")
+    refs.write.parquet(f"{folder}/refs")
+    built = store_index(spark.read.parquet(f"{folder}/refs"), f"{folder}/index", radius=0.2, chunk=2)
+    assert built.refined_rows
+    pts.limit(3000).repartition(3).write.parquet(f"{folder}/points")
+    stream = spark.readStream.schema(pts.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/points")
+    name = "q_" + uuid.uuid4().hex[:10]
+    q = start_memory(nearest_point(stream, open_index(spark, f"{folder}/index"), distance_out="d"), name, "append",
+                     checkpoint_path(spark, name), {"availableNow": True})
+    q.awaitTermination(300)
+    assert q.exception() is None
+    plan = q._jsq.lastProgress()
+    assert q.lastProgress["batchId"] >= 2 and plan is not None
+    assert "/refs" not in q._jsq.explainInternal(False)
+    got = sorted(tuple(r) for r in spark.table(name).collect())
+    points = spark.read.parquet(f"{folder}/points")
+    assert got == sorted(tuple(r) for r in nearest_point(points, refs, radius=0.2, distance_out="d").collect())
+
+
+def test_hot_cells_are_split(spark, scratch):
+    """A third of the reference and a third of the points in one cell: the
+    reference's copies and the points are both dealt over several tasks."""
+    pts, refs = derived_layout(spark)
+    key = F.col("postcode").cast("long")
+    refs = refs.select("postcode", F.when(key % 3 == 0, 1.75 + (key % 97) * 0.0009).otherwise(F.col("longitude")).alias("longitude"),
+                       F.when(key % 3 == 0, (key % 89) * 0.001).otherwise(F.col("latitude")).alias("latitude"))
+    index = store_index(refs, os.path.join(scratch, f"index_{uuid.uuid4().hex[:6]}"), radius=0.2, chunk=32)
+    most = index.leaves.agg(F.max(F.size("cands"))).first()[0]
+    dense = refs.count() // 3
+    assert index.refined_rows and most < dense / 4
+    low = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        res = nearest_point(pts.repartition(8), index, broadcast_rows=0)
+        res.collect()
+        plan = plan_text(res)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "coalesced and skewed" in plan
+    assert "Union" not in plan and "Aggregate" not in plan
+
+
+def test_refining_shrinks_candidate_lists(spark, scratch):
+    """Ten thousand places in one cell: every leaf keeps a few, and answers stay exact."""
+    rows = [(f"K{i}", (i * 37 % 10007) / 10007, (i * 61 % 9973) / 9973) for i in range(10_000)]
+    refs = spark.createDataFrame(rows, REFS)
+    index = store_index(refs, os.path.join(scratch, f"index_{uuid.uuid4().hex[:6]}"), radius=1.0, chunk=64)
+    sizes = index.leaves.select(F.size("cands").alias("n")).agg(F.max("n"), F.avg("n")).first()
+    assert sizes[0] <= 64 and index.entries < 60 * len(rows)
+    points = [(i, (i % 31) / 31 * 1.4 - 0.2, (i % 29) / 29 * 1.4 - 0.2) for i in range(200)]
+    got = {r.id: (r.postcode, r.dist) for r in nearest_point(spark.createDataFrame(points, POINTS), index, distance_out="dist").collect()}
+    assert got == brute_force(points, rows, 1.0)
+
+
+def test_degrees_with_refined_cells_equal_brute_force(spark, scratch):
+    rows = [(f"K{i}", -3 + (i * 37 % 101) / 500, 58 + (i * 61 % 97) / 500) for i in range(400)]
+    points = [(i, -3.2 + (i % 17) / 30, 57.9 + (i % 13) / 30) for i in range(150)]
+    index = store_index(spark.createDataFrame(rows, REFS), os.path.join(scratch, f"index_{uuid.uuid4().hex[:6]}"),
+                        radius=0.05, chunk=8, degrees=True)
+    assert index.refined_rows
+    want = {}
+    for i, x, y in points:
+        near = [(math.sqrt(((rx - x) * math.cos(math.radians(y))) ** 2 + (ry - y) ** 2), k) for k, rx, ry in rows]
+        best = min(near)
+        want[i] = best[1] if best[0] <= 0.05 else None
+    got = {r.id: r.postcode for r in nearest_point(spark.createDataFrame(points, POINTS), index).collect()}
+    assert got == want and None in want.values()
 
 
 def test_large_reference_is_shuffle_joined_not_broadcast(spark):
@@ -176,8 +244,8 @@ def test_large_reference_is_shuffle_joined_not_broadcast(spark):
 @pytest.mark.parametrize("broadcast_rows", [2_000_000, 0])
 def test_third_of_reference_in_one_cell_equals_brute_force(spark, broadcast_rows):
     """A third of the postcodes at distinct spots inside one cell, at the
-    spot of the user holding a third of the events: that cell is split into
-    chunks, its incidents take the best of every chunk."""
+    spot of the user holding a third of the events: that cell is
+    refined until 64 candidates fit a row."""
     pts, refs = derived_layout(spark)
     key = F.col("postcode").cast("long")
     hot = key % 3 == 0
