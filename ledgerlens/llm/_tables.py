@@ -7,14 +7,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.session import checkpoint_root
+from ledgerlens.session import shared_folder
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; there is no other, as executors share none besides."""
-    return checkpoint_root(spark)
+    """The folder in ``spark.checkpoint.dir``, which executors share."""
+    return shared_folder(spark)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
