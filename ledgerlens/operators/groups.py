@@ -22,6 +22,7 @@ from ledgerlens.operators.summarize import (
     maximum,
     mean,
     minimum,
+    quantile_sketch,
     rows_of,
     summarize,
 )
@@ -104,17 +105,26 @@ def bottom_groups_by_median(
     out: str = "median_price",
     accuracy: int = 10000,
     tie_break: bool = True,
+    sketch: str = "percentile",
 ) -> DataFrame:
     """The ``k`` groups with the lowest median ``value``.
 
     ``percentile_approx`` returns an element of the group (the lower middle
     one for an even count) with rank error at most ``1/accuracy`` of the
     group size; its sketch is merged across tasks, so memory per group is
-    bounded by ``accuracy``, not by the group size.  The sketch cannot be
+    bounded by ``accuracy``, not by the group size.  That sketch cannot be
     built before a lookup join, so a ``Lookup`` is joined row by row here
     (AQE splits a skewed join partition).
+
+    ``sketch="kll"`` takes a KLL sketch instead, which can: values are
+    sketched per lookup key before the join and the sketches merged after it,
+    so no fact row crosses a shuffle.  It is exact for groups of up to
+    ``accuracy`` values (see :func:`quantile_sketch` for larger ones).
     """
     keys = _keys(group)
-    agg = rows_of(df).groupBy(*keys).agg(F.percentile_approx(value, 0.5, accuracy).alias(out))
+    if sketch == "kll":
+        agg = summarize(df, keys, {out: quantile_sketch(value, 0.5, accuracy)})
+    else:
+        agg = rows_of(df).groupBy(*keys).agg(F.percentile_approx(value, 0.5, accuracy).alias(out))
     order = [F.col(out).asc_nulls_last()] + (_key_order(keys) if tie_break else [])
     return agg.orderBy(*order).limit(k)

@@ -152,6 +152,31 @@ def count_nonnull(col: str) -> Measure:
     return Measure(lambda: F.count(col), parts, merge)
 
 
+def distinct_sketch(col: str, lg_k: int = 12) -> Measure:
+    """About how many distinct non-null values: a HyperLogLog sketch that
+    merges, so raw rows are read once whatever they are merged into.  The
+    relative standard error is ``1.04 / sqrt(2 ** lg_k)`` at most (1.6 % at
+    12); small numbers are exact."""
+    return Measure(lambda: F.hll_sketch_estimate(F.hll_sketch_agg(col, F.lit(lg_k))),
+                   lambda p, fact: [F.hll_sketch_agg(col, F.lit(lg_k)).alias(p)],
+                   lambda p, fact: F.hll_sketch_estimate(F.hll_union_agg(p, F.lit(False))))
+
+
+def quantile_sketch(col: str, fraction: float = 0.5, k: int = 4096) -> Measure:
+    """A value of rank about ``fraction`` (the lower one in the middle of an
+    even count), from a KLL sketch that merges.  Exact for groups of up to
+    ``k`` values; beyond, the rank is off by about ``2.3 / k ** 0.9`` of the
+    group (0.13 % at 4096) with 99 % confidence.  Null without values."""
+    def value(sketch: Column) -> Column:
+        return F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(fraction)))
+
+    def agg() -> Column:
+        return F.kll_sketch_agg_double(F.col(col).cast("double"), F.lit(k))
+
+    return Measure(lambda: value(agg()), lambda p, fact: [agg().alias(p)],
+                   lambda p, fact: value(F.kll_merge_agg_double(p, F.lit(k))))
+
+
 def summarize(src: Source, keys: Sequence[str], measures: dict[str, Measure]) -> DataFrame:
     """``groupBy(*keys)`` with the named measures, eagerly through a Lookup."""
     if isinstance(src, DataFrame):

@@ -9,6 +9,7 @@ input's timestamp type.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.time import as_event_time, instant_to_ntz
+from ledgerlens.operators.summarize import Measure, count_rows, distinct_sketch
 
 
 def windowed_agg(
@@ -49,6 +51,55 @@ def windowed_agg(
     return flatten_window(res, was_ntz) if flatten else res
 
 
+#: Microseconds of the units that have a fixed length.
+UNITS = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000,
+         "day": 86_400_000_000, "week": 604_800_000_000}
+
+
+def micros(interval: str) -> int:
+    """Microseconds of an interval of fixed length, such as ``"1 hour 30 minutes"``."""
+    words = interval.lower().removeprefix("interval ").split()
+    if not words or len(words) % 2:
+        raise ValueError(f"not an interval: {interval!r}")
+    try:
+        return sum(round(float(n) * UNITS[unit.removesuffix("s")]) for n, unit in zip(words[::2], words[1::2]))
+    except KeyError as error:
+        raise ValueError(f"{error.args[0]!r} in {interval!r} has no fixed length") from None
+
+
+def pane_agg(
+    df: DataFrame,
+    ts: str,
+    size: str,
+    slide: str | None,
+    measures: dict[str, Measure],
+    keys: Sequence[str] = (),
+    watermark: str | None = "1 second",
+) -> DataFrame:
+    """What :func:`windowed_agg` gives, by panes (T2-T5): ``start, end, *keys, *measures``.
+
+    A pane is as long as the greatest common divisor of ``size`` and
+    ``slide``, so every window is a whole number of panes.  Rows are
+    aggregated once per pane and the panes' partial results merged into the
+    windows, instead of copying each row into its ``ceil(size / slide)``
+    windows: the first aggregate reads as many rows as there are events, and
+    what is copied are panes.  On a stream the two aggregates are chained, so
+    it runs in append mode.
+    """
+    was_ntz = df.isStreaming and isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+    if df.isStreaming:
+        df = as_event_time(df, ts)
+        if watermark:
+            df = df.withWatermark(ts, watermark)
+    pane = math.gcd(micros(size), micros(slide or size))
+    fact = set(df.columns)
+    parts = [c for n, m in measures.items() for c in m.parts(f"_{n}", fact)]
+    panes = df.groupBy(F.window(F.col(ts), f"{pane} microseconds").alias("_pane"), *keys).agg(*parts)
+    window = F.window(F.col("_pane"), size, slide) if slide else F.window(F.col("_pane"), size)
+    res = panes.groupBy(window.alias("window"), *keys).agg(*[m.merge(f"_{n}", fact).alias(n) for n, m in measures.items()])
+    return flatten_window(res, was_ntz)
+
+
 def flatten_window(res: DataFrame, to_ntz: bool = False) -> DataFrame:
     """Replace the ``window`` struct by ``start`` and ``end`` columns."""
     start, end = F.col("window.start"), F.col("window.end")
@@ -71,13 +122,17 @@ def type_counts(
     watermark: str | None = "1 second",
     out: str = "crime_count",
     ordered: bool = False,
+    panes: bool = False,
 ) -> DataFrame:
     """Rows per (window, type) (R2): ``start, end, type, crime_count``.
 
     ``ordered`` sorts newest window first, then type (needs complete mode on
-    a stream).
+    a stream).  ``panes`` counts by :func:`pane_agg`.
     """
-    res = windowed_agg(df, ts, size, slide, [F.count(F.lit(1)).alias(out)], [type_col], watermark)
+    if panes:
+        res = pane_agg(df, ts, size, slide, {out: count_rows()}, [type_col], watermark)
+    else:
+        res = windowed_agg(df, ts, size, slide, [F.count(F.lit(1)).alias(out)], [type_col], watermark)
     if ordered:
         res = res.orderBy(*_window_order(True), F.col(type_col).asc_nulls_first())
     return res
@@ -127,14 +182,21 @@ def distinct_types(
     rsd: float = 0.05,
     out: str = "num_different_types",
     ordered: bool = False,
+    panes: bool = False,
+    lg_k: int = 12,
 ) -> DataFrame:
     """Approximate number of distinct types per window (R3), HyperLogLog++.
 
     The sketch is fixed-size per window, so it merges across tasks and
-    micro-batches without holding the values.
+    micro-batches without holding the values.  ``panes`` sketches each pane
+    once and merges the sketches into the windows (:func:`pane_agg`; error by
+    ``lg_k``, see :func:`distinct_sketch`, instead of ``rsd``).
     """
-    res = windowed_agg(df, ts, size, slide,
-                       [F.approx_count_distinct(type_col, rsd).alias(out)], (), watermark)
+    if panes:
+        res = pane_agg(df, ts, size, slide, {out: distinct_sketch(type_col, lg_k)}, (), watermark)
+    else:
+        res = windowed_agg(df, ts, size, slide,
+                           [F.approx_count_distinct(type_col, rsd).alias(out)], (), watermark)
     return res.orderBy(*_window_order(True)) if ordered else res
 
 

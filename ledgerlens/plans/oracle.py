@@ -108,6 +108,11 @@ def oracle_sql() -> dict[str, str]:
     alarm_w = _windows(f"(SELECT * FROM events WHERE event_type = '{Q.ALARM_TYPE}')",
                        *Q.TOP_TYPE_WINDOW)
     enrich_w = _windows("(SELECT * FROM events WHERE user_id IS NOT NULL)", *Q.ENRICH_WINDOW)
+    # append mode: the windows that end no later than the watermark, an hour behind the newest event
+    closed = f"""WITH w AS {count_w}
+SELECT start, "end", event_type AS crime_type, count(*) AS crime_count FROM w
+WHERE "end" <= (SELECT max(ts) FROM events) - INTERVAL {Q.WATERMARK.split()[0]} HOUR
+GROUP BY start, "end", event_type"""
     return {
         "top_groups_by_avg": f"""WITH {HOUSE}
 SELECT town, {_r('avg(price)')} AS avg_price FROM house GROUP BY town
@@ -199,4 +204,36 @@ SELECT start, "end", postcode, {_r('avg(price)')} AS average_price,
 FROM j GROUP BY start, "end", postcode""",
 
         "locate_incidents": _locate(),
+
+        "pane_type_counts": f"""WITH w AS {top_w}
+SELECT start, "end", event_type AS crime_type, count(*) AS crime_count
+FROM w GROUP BY start, "end", event_type""",
+
+        "pane_distinct_types": f"""WITH w AS {count_w}
+SELECT start, "end", count(DISTINCT event_type) AS num_different_types
+FROM w GROUP BY start, "end\"""",
+
+        "bottom_medians_merged": f"""WITH {HOUSE}
+SELECT county, quantile_disc(price, 0.5) AS median_price FROM house GROUP BY county
+ORDER BY median_price ASC NULLS LAST, county ASC NULLS FIRST LIMIT 20""",
+
+        "landed_monthly_counts": f"""WITH {HOUSE},
+m AS (SELECT CAST(month(date) AS INTEGER) AS m FROM house WHERE {_year_range(Q.YEAR, Q.YEAR)})
+SELECT CAST(m AS VARCHAR) AS month, count(*) AS count,
+       monthname(make_date(2000, m, 1)) AS month_name
+FROM m GROUP BY m""",
+
+        "combine_folder": """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment FROM customer
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL FROM supplier""",
+
+        "stream_append_counts": closed,
+        "stream_replayed_counts": closed,
+
+        "stream_alarm_once": f"""WITH w AS {alarm_w}
+SELECT start, "end" FROM w GROUP BY start, "end" HAVING count(event_type) > {Q.ALARM_THRESHOLD}""",
+
+        "stream_running_top": f"""WITH w AS {top_w},
+c AS (SELECT start, "end", event_type AS crime_type, count(*) AS crime_count
+      FROM w GROUP BY start, "end", event_type)
+SELECT * FROM c ORDER BY crime_count DESC, start, "end", crime_type ASC NULLS FIRST LIMIT 1""",
     }

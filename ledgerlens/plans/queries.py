@@ -6,9 +6,12 @@ Every query reads whole tables.  Parameters follow the table mapping in
 original seconds become hours (10h/3h, 12h/4h, 45h/15h windows, 1 hour
 watermark) and the alarm type is ``error``.
 
-The ``stream_*`` queries run the streaming operators on a batch frame (the
-same functions; a watermark has no effect there).  That a stream gives the
-same rows is tested in ``tests/test_streaming*.py``.
+``stream_append_counts``, ``stream_replayed_counts``, ``stream_alarm_once``
+and ``stream_running_top`` are streams: they read the events files with an
+available-now trigger, write their epochs to the shared folder and read them
+back.  The other ``stream_*`` queries run the streaming operators on a batch
+frame (the same functions; a watermark has no effect there).  That a stream
+gives the same rows is tested in ``tests/test_streaming*.py``.
 
 Floating results are rounded to 4 places (``stable_round``) so that
 results do not depend on summation order; averages are ordered before
@@ -17,6 +20,7 @@ rounding.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.numeric import round_columns
+from ledgerlens.functions.time import instant_to_ntz
 from ledgerlens.operators import (
     bottom_groups_by_median,
     busiest_month,
@@ -50,8 +55,12 @@ from ledgerlens.plans.views import (
     postcode_points,
     table,
 )
-from ledgerlens.sources.tables import combine_shuffle
+from ledgerlens.session import shared_folder
+from ledgerlens.sinks import save_table
+from ledgerlens.sources.tables import combine_shuffle, land_raw, read_table
 from ledgerlens.sources.topic import decode_csv, encode_csv
+from ledgerlens.streaming import best_row, drop_replays, epoch_files, first_alarms, read_epochs, start_fan_out
+from ledgerlens.streaming.jobs import BatchWriter
 
 # Fixed parameters of the registered queries.
 YEAR = 1997
@@ -187,6 +196,93 @@ def q_locate_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_columns(res, DIGITS)
 
 
+def q_pane_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 by panes: rows aggregated once per pane, panes merged into windows."""
+    return type_counts(incident_view(spark, sf_dir), "timestamp", "crime_type", *TOP_TYPE_WINDOW, WATERMARK, panes=True)
+
+
+def q_pane_distinct_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 by panes: one sketch per pane, merged into windows."""
+    return distinct_types(incident_view(spark, sf_dir), "timestamp", "crime_type", *TYPE_COUNT_WINDOW, WATERMARK, panes=True)
+
+
+def q_bottom_medians_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B8 with sketches per customer, merged after the place join."""
+    return bottom_groups_by_median(house_lookup(spark, sf_dir), "county", "price", k=20, accuracy=32768, sketch="kll")
+
+
+def q_landed_monthly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales through the three zones (S1, S6, K1): raw CSV files, typed Parquet by year, and a result read back."""
+    zones = f"{shared_folder(spark)}/zones-{uuid.uuid4().hex}"
+    sales = house_view(spark, sf_dir, with_place=False).select("transaction_id", "price", "date", "postcode")
+    save_table(sales.select("transaction_id", "price", F.col("date").cast("timestamp_ntz"), "postcode"), f"{zones}/raw", "csv")
+    raw = read_table(spark, f"{zones}/raw", "transaction_id long, price double, date timestamp_ntz, postcode long")
+    land_raw(raw, f"{zones}/transformation")
+    save_table(monthly_counts(spark.read.parquet(f"{zones}/transformation"), "date", YEAR), f"{zones}/curated")
+    return spark.read.parquet(f"{zones}/curated")
+
+
+def q_combine_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables as CSV files of different column orders in one folder, combined by name."""
+    folder = f"{shared_folder(spark)}/combine-{uuid.uuid4().hex}"
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    supplier = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("id"))
+    for part in (customer, supplier):
+        part.write.mode("append").option("header", "true").csv(folder)
+    return combine_shuffle(spark, [folder], seed=7)
+
+
+def incident_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events files as a stream, in the incident vocabulary."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    # a pattern, as a stream's path may be a folder or a pattern but not one file
+    files = f"{sf_dir.rstrip('/')}/[e]vents.parquet"
+    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(files)
+    return events.select(F.col("ts").alias("timestamp"), F.col("event_id").alias("crime_id"),
+                         F.col("event_type").alias("crime_type"), F.col("user_id").alias("postcode"))
+
+
+def _streamed(df: DataFrame, mode: str, writer: Callable[[str], BatchWriter]) -> str:
+    """Run a stream over all that is there into the writer for a new shared folder; the folder."""
+    folder = f"{shared_folder(df.sparkSession)}/stream-{uuid.uuid4().hex}"
+    start_fan_out(df, [writer(folder)], f"{folder}/checkpoint", mode, {"availableNow": True}).awaitTermination()
+    return folder
+
+
+def q_stream_append_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 as a stream in append mode: windows that the watermark closed, written per epoch and read back."""
+    counts = type_counts(incident_stream(spark, sf_dir), "timestamp", "crime_type", *TYPE_COUNT_WINDOW, WATERMARK)
+    folder = _streamed(counts, "append", lambda f: epoch_files(f"{f}/out", "parquet"))
+    return read_epochs(counts, f"{folder}/out")
+
+
+def q_stream_replayed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 as a stream of which every message comes twice."""
+    twice = incident_stream(spark, sf_dir).union(incident_stream(spark, sf_dir))
+    once = drop_replays(twice, ["crime_id"], "timestamp", WATERMARK)
+    counts = type_counts(once, "timestamp", "crime_type", *TYPE_COUNT_WINDOW, watermark=None)
+    counts = counts.withColumns({c: instant_to_ntz(F.col(c)) for c in ("start", "end")})
+    folder = _streamed(counts, "append", lambda f: epoch_files(f"{f}/out", "parquet"))
+    return read_epochs(counts, f"{folder}/out")
+
+
+def q_stream_alarm_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 as a stream: the windows that raised the alarm, each put out once."""
+    counts = type_window_counts(incident_stream(spark, sf_dir), "timestamp", "crime_type", ALARM_TYPE,
+                                *TOP_TYPE_WINDOW, WATERMARK, ALARM_THRESHOLD)
+    folder = _streamed(counts, "update", lambda f: first_alarms(f"{f}/fired", f"{f}/out", flag="alarm", delay=WATERMARK))
+    return read_epochs(counts, f"{folder}/out").select("start", "end")
+
+
+def q_stream_running_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 as a stream in update mode, the top row kept in a stored table of one row."""
+    counts = type_counts(incident_stream(spark, sf_dir), "timestamp", "crime_type", *TOP_TYPE_WINDOW, WATERMARK)
+    order = [F.col("crime_count").desc(), "start", "end", F.col("crime_type").asc_nulls_first()]
+    folder = _streamed(counts, "update", lambda f: best_row(f"{f}/best", order))
+    return spark.read.parquet(f"{folder}/best").orderBy(F.col("_epoch").desc()).limit(1).drop("_epoch", "slot")
+
+
 QUERIES: dict[str, Query] = {
     "top_groups_by_avg": q_top_groups_by_avg,
     "monthly_counts": q_monthly_counts,
@@ -208,4 +304,13 @@ QUERIES: dict[str, Query] = {
     "stream_alarm": q_stream_alarm,
     "stream_enriched": q_stream_enriched,
     "locate_incidents": q_locate_incidents,
+    "pane_type_counts": q_pane_type_counts,
+    "pane_distinct_types": q_pane_distinct_types,
+    "bottom_medians_merged": q_bottom_medians_merged,
+    "landed_monthly_counts": q_landed_monthly_counts,
+    "combine_folder": q_combine_folder,
+    "stream_append_counts": q_stream_append_counts,
+    "stream_replayed_counts": q_stream_replayed_counts,
+    "stream_alarm_once": q_stream_alarm_once,
+    "stream_running_top": q_stream_running_top,
 }

@@ -20,7 +20,7 @@ from ledgerlens.plans.inspect import plan_text
 from ledgerlens.plans import queries as Q
 from ledgerlens.schemas import HOUSE, INCIDENT
 from ledgerlens.sinks import publish_csv, save_table
-from ledgerlens.sources import combine_shuffle, decode_csv, encode_csv, land_raw, read_table
+from ledgerlens.sources import combine_shuffle, csv_headers, decode_csv, encode_csv, land_raw, read_table
 from ledgerlens.streaming import checkpoint_path, start_memory
 
 
@@ -195,3 +195,41 @@ def test_read_topic_with_any_streaming_format(spark, scratch):
     q.awaitTermination(120)
     (row,) = spark.table(name).collect()
     assert (row.crime_type, row.longitude) == ("Drugs", -1.2)
+
+
+def _csv_file(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+def test_combine_folder_by_name(spark, scratch):
+    """Files of one folder with columns in other orders, a byte-order mark, quoted names, no rows, and nothing at all."""
+    folder = os.path.join(scratch, f"combine {uuid.uuid4().hex[:6]}")
+    _csv_file(f"{folder}/a.csv", "id,kind\n1,x\n2,y\n")
+    _csv_file(f"{folder}/b c%20d.csv", "kind,id\nz,3\n")
+    _csv_file(f"{folder}/c.csv", "﻿id,kind\n4,w\n")
+    _csv_file(f"{folder}/d.csv", '"id","more, and"\n5,"p,q"\n')
+    _csv_file(f"{folder}/e.csv", "kind,id\n")
+    _csv_file(f"{folder}/f.csv", "")
+    want = [("1", "x", None), ("2", "y", None), ("3", "z", None), ("4", "w", None), ("5", None, "p,q")]
+    for paths in ([folder], [f"{folder}/*.csv"]):
+        got = combine_shuffle(spark, paths, seed=1)
+        assert sorted(tuple(r[c] for c in ("id", "kind", "more, and")) for r in got.collect()) == want
+
+
+def test_headers_of_many_files_cost_one_job(spark, scratch):
+    folder = os.path.join(scratch, f"many_{uuid.uuid4().hex[:6]}")
+    for i in range(300):
+        _csv_file(f"{folder}/{i:03d}.csv", ("a,b\n1,2\n", "b,a\n2,1\n", "a\n1\n")[i % 3])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"headers-{folder}", "headers")
+    try:
+        headers = csv_headers(spark, [folder])
+        jobs = tracker.getJobIdsForGroup(f"headers-{folder}")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {h: len(f) for h, f in headers.items()} == {"a,b": 100, "b,a": 100, "a": 100}
+    assert len(jobs) <= 2  # the listing of many files may be a job of its own
+    got = combine_shuffle(spark, [folder], seed=1).groupBy("a", "b").count().collect()
+    assert sorted(map(tuple, got), key=str) == [("1", "2", 200), ("1", None, 100)]
