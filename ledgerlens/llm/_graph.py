@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerlens.llm._tables import materialize
 
 
-def _mark(links: DataFrame) -> tuple:
-    row = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _stored(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """``links`` written, and a mark of its rows (number, sum of hashes) observed while they are written."""
+    seen = Observation()
+    rows = links.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"))
+    table = materialize(rows, "links")
+    return table, (seen.get["n"], seen.get["h"])
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -37,13 +40,9 @@ def components(links: DataFrame) -> DataFrame:
     partial, so a node with very many links costs one row per task.
     Self-links and nulls are ignored; without links the result is empty.
     """
-    now = materialize(
-        links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(), "links")
-    mark = _mark(now)
+    now, mark = _stored(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while mark[0]:
-        after = materialize(_small_star(_large_star(now)), "links")
-        new = _mark(after)
+        after, new = _stored(_small_star(_large_star(now)))
         if new == mark:
             break
         now, mark = after, new

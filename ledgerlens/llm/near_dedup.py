@@ -265,8 +265,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     stars = buckets.join(hubs, F.expr("bucket = _bucket")).filter("rep <> hub").select(
         F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
     stars = materialize(stars, "stars")
-    same = _same_id(known, of)
-    links = linked(stars).union(same)
+    links = linked(stars)
+    several = known.groupBy("doc_id").agg(F.min(F.xxhash64("set_key")).alias("x"), F.max(F.xxhash64("set_key")).alias("y"))
+    several = materialize(several.filter("x <> y").select(F.col("doc_id").alias("_id")), "repeated-ids")
+    if not several.isEmpty():
+        links = links.union(_same_id(known, of, several))
     group = components(links)
     members = _split(buckets, group)
     if not members.isEmpty():
@@ -275,7 +278,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         group = components(links)
 
     member = classes.join(group, F.expr("rep = id"), "left").select("set_key", "least", F.coalesce("component", "rep").alias("node"))
-    member = materialize(member, "class-components")
     least = member.groupBy("node").agg(F.min("least").alias("c")).withColumnRenamed("node", "_node")
     member = member.join(least, F.expr("node = _node")).select(F.col("set_key").alias("_key"), "c")
     member = materialize(member, "class-ids")
@@ -285,11 +287,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                     F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")))
 
 
-def _same_id(known: DataFrame, of: DataFrame) -> DataFrame:
-    """Links (a, b) between the classes of ids that have several."""
-    several = known.select("doc_id", "set_key").distinct().groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    held = known.select("doc_id", "set_key").join(several.select(F.col("doc_id").alias("_id")), F.expr("doc_id = _id"))
-    held = held.join(of, F.expr("set_key = _key")).select("doc_id", "rep").distinct()
+def _same_id(known: DataFrame, of: DataFrame, several: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of the ids ``several`` (_id), which have more than one."""
+    held = known.select("doc_id", "set_key").join(several, F.expr("doc_id = _id"))
+    held = materialize(held.join(of, F.expr("set_key = _key")).select("doc_id", "rep").distinct(), "repeated")
     first = held.groupBy("doc_id").agg(F.min("rep").alias("a")).withColumnRenamed("doc_id", "_id")
     return materialize(held.join(first, F.expr("doc_id = _id")).select("a", F.col("rep").alias("b")), "same-ids")
 
