@@ -1,8 +1,7 @@
 """DuckDB SQL of the registered queries that SQL can express.
 
-The others (packing boundaries, token attribution, spans of several window
-lengths, components, sketch fences, chat windows, licence units) are tested against
-plain-Python versions in ``tests/llm``.
+The others are tested against plain-Python versions in ``tests/llm``; of op1
+only the token counts and batches are, not the boundaries.
 """
 
 #: Words of a text: maximal runs without space, \\t, \\n, \\v, \\f, \\r.
