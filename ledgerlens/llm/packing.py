@@ -1,23 +1,20 @@
 """Optimal length buckets and token-budget batches (operator 1).
 
-The lengths of all documents become one histogram of bounded size; dynamic
-programming over it places the bucket boundaries that waste the least
-padding; batches of a token budget are then numbered inside each bucket
+The lengths of all documents become one exact histogram; dynamic programming
+over it places the bucket boundaries that waste the least padding; batches of a token budget are then numbered inside each bucket
 without ever gathering a bucket in one task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm._tables import materialize, pick, text_or_empty
 
-#: Lengths below 2**(PRECISION + 1) have a histogram bin each; longer ones share
-#: a bin with lengths that differ in the last bits only (relative width 2**-PRECISION).
-#: At most 2**PRECISION * (64 - PRECISION) + 2**PRECISION bins, whatever the corpus.
-PRECISION = 8
 #: Rows numbered by one task; a bucket of n rows is dealt over n / CHUNK_ROWS tasks.
 CHUNK_ROWS = 100_000
 
@@ -27,53 +24,70 @@ def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(text_or_empty(text), r"[ \t-\r]+"), lambda w: w != "")).cast("long")
 
 
-def length_bin(length: Column, precision: int = PRECISION) -> Column:
-    """Histogram bin of a length >= 0: (bits cut off, the leading bits)."""
-    shift = F.greatest(F.lit(0), F.length(F.bin(length)) - (precision + 1))
-    return F.struct(shift.cast("int").alias("shift"),
-                    F.call_function("shiftright", length, shift.cast("int")).alias("top"))
+def histogram(lengths: DataFrame) -> DataFrame:
+    """(length, n): documents per distinct length.
 
+    m distinct lengths add up to m * m / 2 at least, so a corpus of T words
+    has at most ``sqrt(2 * T)`` of them (5.7 million at 100 TB, if every
+    length up to there occurred once).
+    """
+    return lengths.groupBy("length").agg(F.count("*").alias("n"))
 
-def histogram(lengths: DataFrame, precision: int = PRECISION) -> DataFrame:
-    """(shift, top, n, longest): documents per bin and the longest length in it."""
-    return (lengths.groupBy(length_bin(F.col("length"), precision).alias("b"))
-            .agg(F.count("*").alias("n"), F.max("length").alias("longest"))
-            .select("b.shift", "b.top", "n", "longest"))
 
+def _layer(best: np.ndarray, top: np.ndarray, count: np.ndarray, mass: np.ndarray, b: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least waste of the first j lengths in ``b`` buckets, and where the last of these begins, from ``best`` for b - 1.
 
-def best_boundaries(longest: list[int], n: list[int], buckets: int) -> list[int]:
+    The earliest best split does not fall as j grows (the waste of a bucket
+    meets the quadrangle inequality), so the split of a middle j bounds those
+    of both halves: m * log(m) comparisons, all ranges of a round at once.
+    """
+    m = len(top)
+    now, split = np.zeros_like(best), np.zeros(m + 1, np.int32)
+    a, z, low, high = (np.array([x]) for x in (b, m, b - 1, m - 1))
+    while len(a):
+        mid = (a + z) // 2
+        size = np.minimum(high, mid - 1) - low + 1
+        begin = np.cumsum(size) - size
+        owner = np.repeat(np.arange(len(mid)), size)
+        i, j = np.arange(len(owner)) - (begin - low)[owner], mid[owner]
+        total = best[i] + top[j - 1] * (count[j] - count[i]) - (mass[j] - mass[i])
+        least = np.minimum.reduceat(total, begin)
+        hit = np.flatnonzero(total == least[owner])
+        at = i[hit[np.unique(owner[hit], return_index=True)[1]]]
+        now[mid], split[mid] = least, at
+        left, right = a < mid, mid < z
+        a, z, low, high = (np.concatenate([x[left], y[right]]) for x, y in ((a, mid + 1), (mid - 1, z), (low, at), (at, high)))
+    return now, split
+
+
+def best_boundaries(lengths: Sequence[int], n: Sequence[int], buckets: int) -> list[int]:
     """Bucket upper lengths that minimise the padded positions, at most ``buckets`` of them.
 
-    ``longest`` is increasing.  Documents of a bin count as long as the bin's
-    longest, and a bucket pads its documents to its upper length, so bins
-    i..j in one bucket cost ``sum(n[k] * (longest[j] - longest[k]))``.
+    ``lengths`` is increasing, with ``n`` documents each; a bucket pads its
+    documents to its longest, so lengths i..j in one bucket cost
+    ``sum(n[k] * (lengths[j] - lengths[k]))``.
     cost[b][j] = min over i of cost[b - 1][i] + waste(i + 1, j): exact dynamic
     programming over all splits.  Ties take the smaller split.
     """
-    if not longest:
+    m = len(lengths)
+    if not m:
         return []
-    top = np.array(longest, np.float64)
-    count = np.concatenate([[0.0], np.cumsum(np.array(n, np.float64))])
-    mass = np.concatenate([[0.0], np.cumsum(np.array(n, np.float64) * top)])
-    m = len(longest)
-    buckets = min(buckets, m)
-    # best[j]: the least waste of the first j bins with the buckets so far
-    best = np.concatenate([[0.0], top * count[1:] - mass[1:]])
+    # whole numbers, unless they would leave 64 bits
+    kind = np.int64 if int(lengths[-1]) * sum(map(int, n)) < 1 << 62 else np.float64
+    top = np.array(lengths, kind)
+    count = np.concatenate([[0], np.cumsum(np.array(n, kind))]).astype(kind)
+    mass = np.concatenate([[0], np.cumsum(np.array(n, kind) * top)]).astype(kind)
+    # best[j]: the least waste of the first j lengths with the buckets so far
+    best = np.concatenate([[0], top * count[1:] - mass[1:]]).astype(kind)
     splits = []
-    for b in range(2, buckets + 1):
-        now, split = np.full(m + 1, np.inf), np.zeros(m + 1, np.int64)
-        for j in range(b, m + 1):
-            i = np.arange(b - 1, j)
-            total = best[i] + top[j - 1] * (count[j] - count[i]) - (mass[j] - mass[i])
-            at = int(np.argmin(total))
-            now[j], split[j] = total[at], i[at]
+    for b in range(2, min(buckets, m) + 1):
+        best, split = _layer(best, top, count, mass, b)
         splits.append(split)
-        best = now
     ends, j = [], m
     for split in reversed(splits):
-        ends.append(longest[j - 1])
+        ends.append(int(lengths[j - 1]))
         j = int(split[j])
-    ends.append(longest[j - 1])
+    ends.append(int(lengths[j - 1]))
     return ends[::-1]
 
 
@@ -91,17 +105,16 @@ def pack(lengths: DataFrame, buckets: int = 16, token_budget: int = 16_384,
 
     A null length counts as 0, and so does a negative one.  Null ids and
     repeated rows are packed like any other row.  Empty input gives an empty
-    result.  The driver sees the bounded histogram only.
+    result.  The driver sees the histogram only (see :func:`histogram`).
     """
     spark = lengths.sparkSession
     d = materialize(pick(lengths, "doc_id", "length").select(
         "doc_id", F.greatest(F.coalesce(F.col("length"), F.lit(0)), F.lit(0)).cast("long").alias("length")), "lengths")
-    bins = sorted((r["longest"], r["n"]) for r in histogram(d).collect())
-    ends = best_boundaries([x for x, _ in bins], [n for _, n in bins], buckets) or [0]
+    seen = histogram(d).toArrow().sort_by("length")
+    known, n = (seen[c].to_numpy() for c in ("length", "n"))
+    ends = best_boundaries(known, n, buckets) or [0]
     # documents per bucket, for the number of chunks each bucket is dealt into
-    held = [0] * len(ends)
-    for longest, n in bins:
-        held[int(np.searchsorted(ends, longest))] += n
+    held = np.bincount(np.searchsorted(ends, known), weights=n, minlength=len(ends)).astype(np.int64).tolist()
     table = spark.createDataFrame(
         [(i, int(e), max(1, -(-held[i] // chunk_rows)), max(1, token_budget // max(1, int(e)))) for i, e in enumerate(ends)],
         "bucket int, bucket_length long, chunks long, per_batch long")

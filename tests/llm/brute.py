@@ -286,3 +286,22 @@ def line_tokens(docs, encode, spell):
             counts[best][2] += best >= 0 and len(held) > 1
         out += [(i, k, *v) for k, v in counts.items()]
     return sorted(out)
+
+
+def boundaries(lengths, buckets):
+    """Upper lengths of the buckets with the least padding, from every split of the sorted distinct lengths."""
+    n = Counter(lengths)
+    top = sorted(n)
+    count, mass = [0], [0]
+    for x in top:
+        count.append(count[-1] + n[x])
+        mass.append(mass[-1] + n[x] * x)
+    waste = lambda i, j: top[j - 1] * (count[j] - count[i]) - (mass[j] - mass[i])
+    best = [(waste(0, j) if j else 0, (top[j - 1],) if j else ()) for j in range(len(top) + 1)]
+    for b in range(2, min(buckets, len(top)) + 1):
+        last = best
+        best = last[:b] + [None] * (len(top) + 1 - b)
+        for j in range(b, len(top) + 1):
+            cost, i = min((last[i][0] + waste(i, j), i) for i in range(b - 1, j))
+            best[j] = (cost, last[i][1] + (top[j - 1],))
+    return list(best[-1][1])

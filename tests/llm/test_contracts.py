@@ -23,6 +23,9 @@ def test_op1(rows, result):
         assert len(rs) == 1 or len(rs) * rs[0]["bucket_length"] <= 16_384
         last = max(b for k, b in batches if k == bucket)
         assert batch == last or len(rs) == max(1, 16_384 // rs[0]["bucket_length"])
+    ends = brute.boundaries([r["n_tokens"] for r in got], 16)
+    assert len(ends) == 16 and {(r["bucket"], r["bucket_length"]) for r in got} == set(enumerate(ends))
+    assert all(r["n_tokens"] > ends[r["bucket"] - 1] for r in got if r["bucket"])
 
 
 def test_op2(rows, result):

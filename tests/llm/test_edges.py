@@ -91,6 +91,22 @@ def test_boundaries_are_optimal():
         assert cost(packing.best_boundaries(lengths, counts, k)) == best
 
 
+def test_boundaries_of_long_histograms():
+    """Equal to the plain programme over all splits, ties too; sums beyond 64 bits still give boundaries."""
+    import random
+
+    import brute
+
+    draw = random.Random(3)
+    for m, buckets, most in ((1, 4, 9), (7, 16, 3), (60, 5, 2), (300, 16, 1000), (400, 9, 1)):
+        lengths = sorted(draw.sample(range(5 * m), m))
+        counts = [draw.randint(1, most) for _ in lengths]
+        every = [x for x, n in zip(lengths, counts) for _ in range(n)]
+        assert packing.best_boundaries(lengths, counts, buckets) == brute.boundaries(every, buckets)
+    assert packing.best_boundaries([], [], 3) == []
+    assert packing.best_boundaries([1, 2, 1 << 40], [1 << 30, 1 << 30, 1 << 30], 2) == [2, 1 << 40]
+
+
 def test_token_rule_conserves_tokens(spark):
     rows = [(1, "alpha beta gamma", [(0, 0, 8), (1, 8, 16)]), (2, "日本語 text", [(7, 1, 2)]), (3, None, None)]
     d = spark.createDataFrame(rows, f"doc_id long, text string, sections {tokens.SECTIONS}")
