@@ -1,7 +1,6 @@
 """DuckDB SQL of the registered queries that SQL can express.
 
-The others are tested against plain-Python versions in ``tests/llm``; of op1
-only the token counts and batches are, not the boundaries.
+The others are tested against plain-Python versions in ``tests/llm``.
 """
 
 #: Words of a text: maximal runs without space, \\t, \\n, \\v, \\f, \\r.
