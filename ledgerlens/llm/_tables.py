@@ -49,16 +49,21 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return flat.select(*[flat[own[df.columns.index(n)]].alias(n) for n in names])
 
 
-def with_side(df: DataFrame, side: DataFrame, id_col: str, how: str = "left") -> tuple[DataFrame, list[str], list[str]]:
+def with_side(df: DataFrame, side: DataFrame, id_col: str, how: str = "left",
+              text_col: str | None = None) -> tuple[DataFrame, list[str], list[str]]:
     """``df`` joined with ``side`` on the id, under names that cannot clash.
 
     Returns the joined frame, the names that stand for df's columns (in order)
-    and those that stand for side's.  ``side`` has the id first.
+    and those that stand for side's.  ``side`` has the id first; with
+    ``text_col`` the text's ``xxhash64`` comes second and must match too, which
+    tells apart rows that share an id.
     """
     own = [f"_c{i}" for i in range(len(df.columns))]
     extra = [f"_s{i}" for i in range(len(side.columns))]
     left, right = df.toDF(*own), side.toDF(*extra)
     on = left[own[df.columns.index(id_col)]] == right["_s0"]
+    if text_col is not None:
+        on &= F.xxhash64(left[own[df.columns.index(text_col)]]) == right["_s1"]
     return left.join(right, on, how), own, extra
 
 

@@ -16,28 +16,29 @@ def _lines(text: Column) -> Column:
 
 
 def line_windows(docs: DataFrame, size: int = 3) -> DataFrame:
-    """(doc_id, at, lines, key): each run of ``size`` consecutive non-blank lines.
+    """(doc_id, row, at, lines, key): each run of ``size`` consecutive non-blank lines.
 
+    ``row`` is the hash of the text, which tells apart rows that share an id,
     ``at`` counts non-blank lines from 0, ``lines`` are their numbers among
     all lines and ``key`` is the 128-bit hash of the trimmed lines.  Documents
     with fewer lines, a null text or a null id have no windows.
     """
     d = pick(docs, "doc_id", "text").filter("doc_id IS NOT NULL").select(
-        "doc_id", F.filter(F.transform(_lines(F.col("text")), lambda x, i: F.struct(
+        "doc_id", F.xxhash64("text").alias("row"), F.filter(F.transform(_lines(F.col("text")), lambda x, i: F.struct(
             i.alias("i"), F.regexp_replace(x, EDGE, "").alias("x"))), lambda s: s["x"] != "").alias("a"))
     d = d.filter(F.size("a") >= size)
     windows = F.transform(F.sequence(F.lit(0), F.size("a") - size), lambda j: F.struct(
         j.alias("at"),
         F.transform(F.slice("a", j + 1, size), lambda s: s["i"]).alias("lines"),
         F.unhex(F.md5(F.array_join(F.transform(F.slice("a", j + 1, size), lambda s: s["x"]), "\n"))).alias("key")))
-    return d.select("doc_id", F.explode_outer(windows).alias("s")).select("doc_id", "s.*")
+    return d.select("doc_id", "row", F.explode_outer(windows).alias("s")).select("doc_id", "row", "s.*")
 
 
 def repeated_lines(docs: DataFrame, size: int = 3) -> DataFrame:
-    """(doc_id, lines): line numbers covered by a later occurrence of a window.
+    """(doc_id, row, lines): line numbers covered by a later occurrence of a window.
 
     The first occurrence of a window is the one with the smallest (doc_id,
-    at); all others cover their lines.  First occurrences come from a partial
+    row, at); all others cover their lines.  First occurrences come from a partial
     aggregate, and only repeated keys are joined back (AQE splits a key that
     very many documents share, as both join sides are plain shuffles).  The
     repeated keys grow with the documents, so they are never broadcast: the
@@ -45,11 +46,11 @@ def repeated_lines(docs: DataFrame, size: int = 3) -> DataFrame:
     """
     windows = line_windows(docs, size)
     first = materialize(
-        windows.groupBy("key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n"))
-        .filter("n > 1").select(F.col("key").alias("k"), F.col("first.doc_id").alias("d"), F.col("first.at").alias("p")),
+        windows.groupBy("key").agg(F.min(F.struct("doc_id", "row", "at")).alias("first"), F.count("*").alias("n"))
+        .filter("n > 1").select(F.col("key").alias("k"), F.col("first.doc_id").alias("d"), F.col("first.row").alias("r"), F.col("first.at").alias("p")),
         "line-windows")
-    later = windows.join(first.hint("merge"), F.expr("key = k")).filter("NOT (doc_id = d AND at = p)")
-    return later.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines"))
+    later = windows.join(first.hint("merge"), F.expr("key = k")).filter("NOT (doc_id = d AND row = r AND at = p)")
+    return later.groupBy("doc_id", "row").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines"))
 
 
 def dedup_lines(docs: DataFrame, size: int = 3) -> DataFrame:
@@ -58,11 +59,13 @@ def dedup_lines(docs: DataFrame, size: int = 3) -> DataFrame:
     Lines are compared without surrounding ASCII white space; blank lines
     belong to no window and stay.  A removed line's text always stays at the
     first occurrence of its window, or where that line itself is first.  Null
-    text: no lines, the kept text is null.  Null id: nothing removed.  Exactly
-    repeated rows share one first occurrence and stay alike.
+    text: no lines, the kept text is null.  Null id: nothing removed.  Rows
+    that share an id but not the text are documents of their own, in the
+    order of their texts' hashes; exactly repeated rows share one first
+    occurrence and stay alike.
     """
     side = materialize(repeated_lines(docs, size), "covered-lines").hint("merge")
-    joined, own, (_, covered) = with_side(pick(docs, "doc_id", "text"), side, "doc_id")
+    joined, own, (_, _, covered) = with_side(pick(docs, "doc_id", "text"), side, "doc_id", text_col="text")
     doc_id, text = own
     d = joined.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), _lines(F.col(text)).alias("x"),
                       F.coalesce(F.col(covered), F.array().cast("array<int>")).alias("c"))
@@ -75,9 +78,9 @@ def dedup_lines(docs: DataFrame, size: int = 3) -> DataFrame:
 
 
 def replace_lines(docs: DataFrame, size: int = 3) -> DataFrame:
-    """``docs`` with repeated lines cut from its text and n_chars set anew; columns and rows unchanged."""
+    """``docs`` with repeated lines cut from its text (see :func:`dedup_lines`) and n_chars set anew; columns and rows unchanged."""
     side = materialize(repeated_lines(docs, size), "covered-lines").hint("merge")
-    joined, own, (_, covered) = with_side(docs, side, "doc_id")
+    joined, own, (_, _, covered) = with_side(docs, side, "doc_id", text_col="text")
     text = own[docs.columns.index("text")]
     lines = _lines(F.col(text))
     keep = F.array_except(F.sequence(F.lit(0), F.size("_x") - 1), F.col(covered))

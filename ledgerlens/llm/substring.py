@@ -89,7 +89,8 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
     marks their rows; only marked rows reach the next level.  Every document
     gives a short window once, so a key holds one row per document at most;
     the joins are of plain shuffles, which AQE splits where a passage is very
-    common.
+    common.  Windows are compared by 96 bits of hash: among n different ones
+    about n^2 / 2^97 pairs agree by chance (1e-3 at 1.5e13 windows, 100 TB).
     """
     d = pick(docs, "doc_id", "text").filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), text_or_empty(F.col("text")).alias("text"))
     short = (window + 1) // 2
@@ -124,6 +125,13 @@ def longest_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     return found.groupBy("doc_id").agg(F.max("n_words").alias("n_words"))
 
 
+def _own(at: np.ndarray, h: np.ndarray, hashes: np.ndarray, begin: int, end: int, window: int) -> np.ndarray:
+    """Those of the window starts ``at`` (hashes ``h``) that are windows of the text with words begin to end."""
+    inside = at <= end - begin - window
+    at, h = at[inside], h[inside]
+    return at[hashes[begin + at] == h]
+
+
 def _kept(raw: bytes, starts: np.ndarray | None, window: int) -> tuple[int, int, bytes]:
     """Number of words, number of removed words, and the kept words joined by one space."""
     words = raw.split()
@@ -143,20 +151,29 @@ def dedup_substrings(docs: DataFrame, window: int = 13) -> DataFrame:
     A word (``[^ \\t-\\r]+``, unchanged) is removed if a window of ``window``
     words that covers it also starts in a document with a smaller doc_id, as
     the input stands.  Null texts have no words.  Rows with a null id lose
-    nothing and count for no other row; rows that repeat an id lose the same
-    positions.  Empty tables give empty results.
+    nothing and count for no other row.  Rows that repeat an id are cut each
+    by its own windows: a start counts for a row only if the row's window
+    there has the repeated hash.  Empty tables give empty results.
     """
     starts = materialize(repeated_windows(docs, window).filter("doc_id > first").groupBy("doc_id").agg(
-        F.collect_set("at").alias("at")), "starts")
+        F.collect_set(F.struct("at", "h1")).alias("at")), "starts")
     d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     joined, (doc_id, text), (_, at) = with_side(d, starts, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher(PLAIN)
         for batch in batches:
             texts, marks = batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2)
             for part in parts(texts):
-                rows = [_kept(texts[i] or b"", marks[i].values.to_numpy() if marks[i].is_valid else None, window)
-                        for i in range(part.start, part.stop)]
+                own: dict[int, np.ndarray] = {}
+                marked = [i for i in range(part.start, part.stop) if marks[i].is_valid]
+                if marked:
+                    words, first = hasher.words([texts[i] for i in marked])
+                    hashes = windows(words, window)
+                    for n, i in enumerate(marked):
+                        at, h = (marks[i].values.field(c).to_numpy() for c in ("at", "h1"))
+                        own[i] = _own(at, h.view(U64), hashes, first[n], first[n + 1], window)
+                rows = [_kept(texts[i] or b"", own.get(i), window) for i in range(part.start, part.stop)]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(part.start, len(rows)), pa.array([r[0] for r in rows], pa.int64()),
                     pa.array([r[1] for r in rows], pa.int64()),

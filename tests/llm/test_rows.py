@@ -6,7 +6,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, near_dedup, tokens
+from ledgerlens.llm import decontaminate, lines, near_dedup, substring, tokens
 
 A = " ".join(f"a{i}" for i in range(100))
 B = " ".join(f"b{i}" for i in range(100))
@@ -44,6 +44,30 @@ def test_passages_are_cut_row_by_row(spark, block_bytes):
                            (3, 53, *span)])
 
 
+def test_passages_of_repeated_ids(spark):
+    """Each row loses the windows of its own text, at the other row's positions too."""
+    passage = " ".join(f"s{i}" for i in range(13))
+    rows = [(1, f"x {passage}"), (5, f"y z {passage} end"), (5, PLAIN), (5, f"{passage} tail"), (5, "short"), (5, None), (None, passage),
+            (5, f"y z {passage} end")]
+    got = [tuple(r) for r in substring.dedup_substrings(docs(spark, rows)).collect()]
+    want = [(1, 14, 0, f"x {passage}"), (5, 16, 13, "y z end"), (5, 40, 0, PLAIN), (5, 14, 13, "tail"), (5, 1, 0, "short"), (5, 0, 0, ""),
+            (None, 13, 0, passage), (5, 16, 13, "y z end")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_lines_of_repeated_ids(spark):
+    block, other = "l1\nl2\nl3", "o1\no2\no3\no4"
+    rows = [(1, f"{block}\na"), (5, f"b\n{block}"), (5, other), (5, f"{block}\nc"), (5, None), (None, block), (5, other)]
+    got = [(r["doc_id"], r["n_removed"], r["text"]) for r in lines.dedup_lines(docs(spark, rows)).collect()]
+    want = [(1, 0, f"{block}\na"), (5, 3, "b"), (5, 0, other), (5, 3, "c"), (5, 0, None), (None, 0, block), (5, 0, other)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    kept = [(r["doc_id"], r["text"], r["n_chars"]) for r in lines.replace_lines(docs(spark, rows)).collect()]
+    assert sorted(kept, key=str) == sorted([(i, t, len(t) if n else 0) for i, n, t in want], key=str)
+    twice = [(5, f"{block}\nd"), (5, f"{block}\ne")]  # one of the two texts is first
+    got = [r["n_removed"] for r in lines.dedup_lines(docs(spark, twice)).collect()]
+    assert sorted(got) == [0, 3]
+
+
 @pytest.fixture(scope="module")
 def encoding():
     with open(tokens.VOCABULARY, "rb") as file:
