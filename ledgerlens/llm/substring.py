@@ -125,11 +125,12 @@ def longest_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     return found.groupBy("doc_id").agg(F.max("n_words").alias("n_words"))
 
 
-def _own(at: np.ndarray, h: np.ndarray, hashes: np.ndarray, begin: int, end: int, window: int) -> np.ndarray:
-    """Those of the window starts ``at`` (hashes ``h``) that are windows of the text with words begin to end."""
+def _own(marks: np.ndarray, hashes: np.ndarray, begin: int, end: int, window: int) -> np.ndarray:
+    """Starts of those marks (start, 32 bits of hash) that are windows of the text with words begin to end."""
+    at = marks >> 32
     inside = at <= end - begin - window
-    at, h = at[inside], h[inside]
-    return at[hashes[begin + at] == h]
+    marks, at = marks[inside], at[inside]
+    return at[(hashes[begin + at] & U64(0xFFFFFFFF)) == (marks & 0xFFFFFFFF).astype(U64)]
 
 
 def _kept(raw: bytes, starts: np.ndarray | None, window: int) -> tuple[int, int, bytes]:
@@ -152,11 +153,11 @@ def dedup_substrings(docs: DataFrame, window: int = 13) -> DataFrame:
     words that covers it also starts in a document with a smaller doc_id, as
     the input stands.  Null texts have no words.  Rows with a null id lose
     nothing and count for no other row.  Rows that repeat an id are cut each
-    by its own windows: a start counts for a row only if the row's window
-    there has the repeated hash.  Empty tables give empty results.
+    by its own windows: a start counts for a row only if 32 bits of the hash of
+    the row's window there agree.  Empty tables give empty results.
     """
-    starts = materialize(repeated_windows(docs, window).filter("doc_id > first").groupBy("doc_id").agg(
-        F.collect_set(F.struct("at", "h1")).alias("at")), "starts")
+    starts = materialize(repeated_windows(docs, window).filter("doc_id > first").groupBy("doc_id").agg(F.collect_set(
+        F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("h1").bitwiseAND(0xFFFFFFFF))).alias("at")), "starts")
     d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     joined, (doc_id, text), (_, at) = with_side(d, starts, "doc_id")
 
@@ -171,8 +172,7 @@ def dedup_substrings(docs: DataFrame, window: int = 13) -> DataFrame:
                     words, first = hasher.words([texts[i] for i in marked])
                     hashes = windows(words, window)
                     for n, i in enumerate(marked):
-                        at, h = (marks[i].values.field(c).to_numpy() for c in ("at", "h1"))
-                        own[i] = _own(at, h.view(U64), hashes, first[n], first[n + 1], window)
+                        own[i] = _own(marks[i].values.to_numpy(), hashes, first[n], first[n + 1], window)
                 rows = [_kept(texts[i] or b"", own.get(i), window) for i in range(part.start, part.stop)]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(part.start, len(rows)), pa.array([r[0] for r in rows], pa.int64()),

@@ -96,3 +96,32 @@ def test_three_million_of_one_character(spark):
     got = tokens.count_tokens(d.withColumn("sections", one)).filter("section = 0").collect()
     assert sorted((r["doc_id"], r["n_chars"]) for r in got) == [(i, 3_000_002) for i in range(6)]
     assert all(0 < r["n_tokens"] <= 9_000_002 for r in got)  # at most one a byte
+
+
+def test_automaton_of_repetitive_items():
+    """Few different words: states with many moves, splits and items of every length, against a search of all windows."""
+    import random
+
+    draw = random.Random(5)
+    text = lambda n: " ".join(draw.choice("abc") for _ in range(n))
+    for ngram in (1, 3, 10):
+        items = [(str(i % 37), text(draw.randint(0, 25)).encode()) for i in range(40)]
+        automaton = decontaminate.SuffixAutomaton(items, ngram)
+        windows = {}
+        for name, raw in items:
+            w = raw.split()
+            n = min(ngram, len(w))
+            for p in range(len(w) - n + 1 if w else 0):
+                windows.setdefault(tuple(w[p:p + n]), set()).add(name)
+        for _ in range(60):
+            doc = (text(draw.randint(0, 60)) + " z " + text(draw.randint(0, 30))).encode()
+            w = doc.split()
+            hits, names = set(), set()
+            for key, ids in windows.items():
+                for p in range(len(w) - len(key) + 1):
+                    if tuple(w[p:p + len(key)]) == key:
+                        hits |= set(range(p, p + len(key)))
+                        names |= ids
+            total, spans, found = automaton.scan(doc)
+            assert (total, found) == (len(w), names)
+            assert {j for a, b in spans for j in range(a, b)} == hits and all(a < b for a, b in spans)
