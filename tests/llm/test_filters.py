@@ -70,3 +70,46 @@ def test_empty(spark):
     docs, labels = frames(spark)
     assert filters.audit_filters(docs.limit(0), labels).collect() == []
     assert len(filters.audit_filters(docs, labels.limit(0)).collect()) == 3 * 120 * 5
+
+
+def test_words_travel_by_shard_and_bucket(spark):
+    """A row per shard and bucket, not one per word; the words of a bucket are those of its hashes in every shard."""
+    docs = spark.createDataFrame([(i, "p", t or "") for i, t, _ in DOCS], "doc_id long, part string, text string").coalesce(1)
+    local = filters.local_shards(docs, shard_bytes=64).localCheckpoint()
+    pieces = filters.word_pieces(local, 3).collect()
+    shards = [r for r in local.select("shard", "words").collect() if r["words"]]
+    assert len({(r["shard"], r["bucket"]) for r in pieces}) == len(pieces) <= 3 * len(shards) < sum(len(r["words"].split()) for r in shards)
+    for r in shards:
+        own = sorted((p["bucket"], p["words"]) for p in pieces if p["shard"] == r["shard"])
+        assert b" ".join(w for _, w in own) == bytes(r["words"])
+    buckets = {}
+    for r in pieces:
+        for w in bytes(r["words"]).split():
+            buckets.setdefault(w, set()).add(r["bucket"])
+    assert all(len(b) == 1 for b in buckets.values()) and {b for x in buckets.values() for b in x} == {0, 1, 2}
+
+
+def test_matrix_of_many_buckets(spark, monkeypatch):
+    """Words at every white space and beside none, in buckets that take several Arrow batches."""
+    monkeypatch.setattr(filters, "BUCKET_BYTES", 16)
+    texts = ["\x1ca\x85b c \x00 a\x0bb\x0cc\r\nd\t\te ", " ", "", *[" ".join(f"w{j % (i + 3)}" for j in range(40)) + "  " for i in range(40)], "é x" * 50]
+    docs = spark.createDataFrame([(i, "p", t) for i, t in enumerate(texts)], "doc_id long, part string, text string").repartition(3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        matrix, dictionary = filters.document_term_matrix(docs, shard_bytes=300, bucket_bytes=32)
+        words = {r["term"]: bytes(r["word"]) for r in dictionary.collect()}
+        measures = {r["doc_id"]: (r["n_words"], r["n_distinct"]) for r in filters.row_measures(matrix).collect()}
+        rows = matrix.collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = [Counter(t.encode().split()) for t in texts]
+    assert len(words) == dictionary.count() and set(words.values()) == {w for t in want for w in t} and len(set(words.values())) == len(words)
+    assert len({t >> 32 for t in words}) > 3  # buckets
+    got = {}
+    for r in rows:
+        for i, doc in enumerate(r["doc_id"]):
+            a, b = r["indptr"][i], r["indptr"][i + 1]
+            got[doc] = {words[t]: n for t, n in zip(r["columns"][a:b], r["counts"][a:b])}
+    assert got == dict(enumerate(want))
+    assert measures == {i: (t.total(), len(t)) for i, t in enumerate(want)}
